@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from argulith import fixed_values as fixed
 from argulith.operators.ranking import hash_split
+from argulith.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Documents for costly work per text: on all cores, however few row groups the file has."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", *columns))
+
+
 def six(column: Column | str) -> Column:
     """Doubles are compared at six places."""
     return F.round(column, 6)
@@ -117,7 +123,7 @@ ENTITY_TAILS = [
 
 
 def documents_with_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").withColumn("text", F.concat("text", pick(ENTITY_TAILS)))
+    return texts(spark, sf_dir, "lang", "source").withColumn("text", F.concat("text", pick(ENTITY_TAILS)))
 
 
 ENTITIES_SQL = f"SELECT * REPLACE (text || {pick_sql(ENTITY_TAILS)} AS text) FROM documents"

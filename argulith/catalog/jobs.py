@@ -37,7 +37,7 @@ from argulith.functions.text import clean_text, longer_than
 from argulith.operators import classify, dedup, hits, labels, ranking, search
 from argulith.plans import corpus as corpus_plan
 from argulith.plans import leakage, prepare, scoring
-from argulith.session import scratch_path
+from argulith.session import scratch_path, stage
 from argulith.streaming.score import stream_score, text_stream
 
 # --- the flagship: rated documents, cleaned, split, counted ---------------------------------------
@@ -54,7 +54,8 @@ FROM ({RATED_SQL}) WHERE length(text) > 50) WHERE rn = 1"""
 def prepared_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length filter, deduplication, cleaning, stratified split, rows and characters per split and class."""
     kept = dedup.dedup_exact(rated_documents(spark, sf_dir).filter(longer_than(F.col("text"), 50)))
-    cleaned = kept.select("doc_id", "label", F.length(clean_text(F.col("text"))).alias("chars"))
+    # Staged, as the split goes over its input more than once.
+    cleaned = stage(kept.select("doc_id", "label", F.length(clean_text(F.col("text"))).alias("chars")), "cleaned")
     parts = ranking.stratified_split(cleaned, "label", "doc_id")
     return parts.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
 
@@ -108,7 +109,7 @@ def corpus_to_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "corpus_index")
     encoder, centres, index = corpus_plan.corpus_to_index(_passages(spark, sf_dir), path, n_cells=8, dimensions=128)
     queries = corpus_plan.encode_queries(table(spark, sf_dir, "benchmark"), encoder)
-    found = search.ivf_topk(queries, index, centres, 5, len(centres), "item_id", "id")
+    found = stage(search.ivf_topk(queries, index, centres, 5, len(centres), "item_id", "id"), "hits")
     return hits.hits_to_passages(found, index).select("query_id", "id", "rank", six("score").alias("score"), "text")
 
 
@@ -194,8 +195,10 @@ UNION ALL SELECT n_name, 'IsA', 'nation' FROM nation"""
 
 @query(
     "concept_enrichment",
-    f"""SELECT doc_id, string_agg(fact, ';' ORDER BY fact) AS facts FROM (SELECT DISTINCT doc_id, concept || ' ' || relation || ' ' || target AS fact
-    FROM (SELECT doc_id, unnest(list_concat(organizations, locations)) AS concept FROM ({CONCEPTS_SQL})) JOIN ({_EDGES_SQL}) USING (concept)) GROUP BY doc_id""",
+    f"""SELECT d.doc_id, coalesce(string_agg(fact, ';' ORDER BY fact), '') AS facts FROM documents d LEFT JOIN (
+    SELECT DISTINCT doc_id, concept || ' ' || relation || ' ' || target AS fact FROM (
+      SELECT doc_id, unnest(list_concat(organizations, locations)) AS concept FROM ({CONCEPTS_SQL})) JOIN ({_EDGES_SQL}) USING (concept)) f
+    ON f.doc_id = d.doc_id GROUP BY d.doc_id""",
 )
 def concept_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
@@ -224,7 +227,7 @@ def generator_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_class = classify.centroid_scorer(table(spark, sf_dir, "embeddings"))
     named = classify.LinearScorer([_NAMES[c] for c in by_class.labels], by_class.weights)
     described = _described(spark, sf_dir)
-    found = search.exact_topk(described, described, 3)
+    found = stage(search.exact_topk(described, described, 3), "hits")
     examples = hits.top_hits_array(hits.hits_to_passages(found, described, "vec_id")).withColumnRenamed("query_id", "vec_id")
     scored = scoring.predict(described, named).withColumnRenamed("pred", "predicted_fallacy")
     explained = scored.withColumn(

@@ -240,13 +240,7 @@ def split_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def contaminated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = split_documents(spark, sf_dir).select("doc_id", "text", "split")
     train, held_out = documents.filter(F.col("split") == "train"), documents.filter(F.col("split") != "train")
-    parts = [
-        dedup.contaminated_rows(held_out, train, clean=clean).select(
-            "doc_id", "split", F.lit(not clean).alias("contaminated")
-        )
-        for clean in (False, True)
-    ]
-    return dedup.union_sources(*parts)
+    return dedup.mark_contaminated(held_out, train).select("doc_id", "split", "contaminated")
 
 
 # --- joins on hits -------------------------------------------------------------------------------

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from argulith import fixed_values as fixed
-from argulith.catalog.base import SPLIT_CASE_SQL, SPLIT_SQL, query, quoted, rated_documents, six, split_documents, table
+from argulith.catalog.base import CANONICAL_SQL, SPLIT_CASE_SQL, SPLIT_SQL, canonical_documents, query, quoted, rated_documents, six, table, texts
 from argulith.catalog.texts import TOKENS_SQL, explanation_sql
 from argulith.functions import vectors as vx
 from argulith.operators import classify, hits, metrics, ranking, search, tfidf
 from argulith.plans import scoring
-from argulith.session import scratch_path
+from argulith.session import scratch_path, stage
 from argulith.sources import stores
 
 # --- arithmetic ----------------------------------------------------------------------------------
@@ -98,13 +98,9 @@ def topn_labels_per_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "confidence_filter",
-    f"SELECT vec_id, round(confidence, 6) AS confidence FROM ({PREDICTIONS_SQL}) WHERE confidence >= 0.16",
-)
+@query("confidence_filter", f"SELECT doc_id, label, confidence FROM ({CANONICAL_SQL}) WHERE confidence >= 0.6")
 def confidence_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored, _ = scored_embeddings(spark, sf_dir)
-    return classify.confidence_filter(scored, 0.16).select("vec_id", six("confidence").alias("confidence"))
+    return classify.confidence_filter(canonical_documents(spark, sf_dir)).select("doc_id", "label", "confidence")
 
 
 # --- search --------------------------------------------------------------------------------------
@@ -198,7 +194,7 @@ def tfidf_ctes(rows: str) -> str:
     f"WITH {tfidf_ctes('SELECT * FROM documents')} SELECT doc_id, term, round(x, 6) AS weight FROM w",
 )
 def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = texts(spark, sf_dir)
     model = tfidf.fit_tfidf(documents)
     return model.long(documents, "doc_id").withColumn("weight", six("weight"))
 
@@ -213,7 +209,7 @@ sims AS (SELECT doc_id, (SELECT count(*) FROM train) AS n, coalesce(sum(dot), 0)
 
 
 def _train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, tfidf.TfIdf]:
-    parts = split_documents(spark, sf_dir).filter(F.col("split") != "val").select("doc_id", "text", "split")
+    parts = ranking.hash_split(texts(spark, sf_dir), "doc_id").filter(F.col("split") != "val")
     model = tfidf.fit_tfidf(parts)
     return parts.filter(F.col("split") == "test"), parts.filter(F.col("split") == "train"), model
 
@@ -371,7 +367,7 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("encode_texts", f"SELECT doc_id, 128 AS dimensions, CASE WHEN len({TOKENS_SQL}) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS norm FROM documents")
 def encode_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SQL knows only what must hold: the dimensions, and unit length unless a text has no word."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = texts(spark, sf_dir)
     encoder = classify.fit_encoder(documents, dimensions=128)
     encoded = classify.encode_texts(documents, encoder)
     return encoded.select("doc_id", F.size("embedding").alias("dimensions"), six(vx.norm(F.col("embedding"))).alias("norm"))
@@ -442,12 +438,13 @@ def predict_and_explain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explained.select("vec_id", "predicted_fallacy", six("confidence").alias("confidence"), "explanation")
 
 
-# Two explanations per case, as vectors: the case itself and the next case in key order stands in
-# for what a text encoder makes of the two texts. Only rated documents are passages, so of the three
-# nearest vectors of a case some, or all, are dropped.
-_OWN_SQL = """SELECT a.vec_id, a.label, list_transform(a.embedding, lambda x: x::DOUBLE) AS first,
-list_transform(b.embedding, lambda x: x::DOUBLE) AS second FROM embeddings a
-JOIN embeddings b ON b.vec_id = (a.vec_id * 7 + 3) % (SELECT count(*) FROM embeddings)"""
+# Two explanations per case, as vectors: two other vectors stand in for what a text encoder makes of
+# the two texts. Only rated documents are passages, so of the three nearest vectors of a case some,
+# or all, are dropped; without any passage both scores are 0, a tie.
+_OWN_SQL = """SELECT a.vec_id, list_transform(b.embedding, lambda x: x::DOUBLE) AS first,
+list_transform(c.embedding, lambda x: x::DOUBLE) AS second FROM embeddings a
+JOIN embeddings b ON b.vec_id = (a.vec_id * 7 + 3) % (SELECT count(*) FROM embeddings)
+JOIN embeddings c ON c.vec_id = (a.vec_id * 11 + 5) % (SELECT count(*) FROM embeddings)"""
 _HITS3_SQL = f"SELECT query_id, id FROM ({RANKED_SQL}) WHERE rank <= 3 AND id IN (SELECT doc_id FROM labels)"
 _GROUNDED_SQL = f"""SELECT c.vec_id, coalesce(avg(list_dot_product(c.first, p.v)), 0.0) AS first_score,
 coalesce(avg(list_dot_product(c.second, p.v)), 0.0) AS second_score FROM ({_OWN_SQL}) c
@@ -458,15 +455,23 @@ LEFT JOIN (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FR
 def _grounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = _embeddings(spark, sf_dir)
     rows = embeddings.count()
-    other = embeddings.select(F.col("vec_id").alias("other"), F.col("embedding").alias("second"))
+
+    def other(name: str) -> DataFrame:
+        return embeddings.select(F.col("vec_id").alias(f"{name}_id"), F.col("embedding").alias(name))
+
     cases = (
-        embeddings.withColumn("other", (F.col("vec_id") * 7 + 3) % rows)
-        .join(other, "other")
-        .select("vec_id", F.col("embedding").alias("first"), "second")
+        embeddings.select(
+            "vec_id",
+            ((F.col("vec_id") * 7 + 3) % rows).alias("first_id"),
+            ((F.col("vec_id") * 11 + 5) % rows).alias("second_id"),
+        )
+        .join(other("first"), "first_id")
+        .join(other("second"), "second_id")
+        .select("vec_id", "first", "second")
     )
     rated = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("vec_id"))
     passages = embeddings.join(rated, "vec_id", "left_semi")
-    found = search.exact_topk(embeddings, embeddings, 3)
+    found = stage(search.exact_topk(embeddings, embeddings, 3), "hits")
     scored = hits.grounding_score(cases, found, passages, "vec_id", "first", "first_score", "vec_id")
     return hits.grounding_score(scored, found, passages, "vec_id", "second", "second_score", "vec_id")
 

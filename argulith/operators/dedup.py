@@ -55,13 +55,27 @@ def split_overlap(df: DataFrame, text_col: str = "text", split_col: str = "split
     )
 
 
+def _train_digests(train: DataFrame, text_col: str) -> DataFrame:
+    return train.select(text_digest(text_col).alias("_digest")).distinct()
+
+
+def mark_contaminated(
+    held_out: DataFrame, train: DataFrame, text_col: str = "text", out: str = "contaminated"
+) -> DataFrame:
+    """Add whether the text of a held-out row also occurs in train."""
+    known = _train_digests(train, text_col).withColumn("_known", F.lit(True))
+    marked = held_out.withColumn("_digest", text_digest(text_col))
+    joined = join_to_unique(marked, known, "_digest", "left")
+    return joined.withColumn(out, F.coalesce("_known", F.lit(False))).drop("_digest", "_known")
+
+
 def contaminated_rows(
     held_out: DataFrame, train: DataFrame, text_col: str = "text", clean: bool = False
 ) -> DataFrame:
     """Held-out rows whose text also occurs in train; with ``clean=True`` the other rows."""
-    known = train.select(text_digest(text_col).alias("_digest")).distinct()
     marked = held_out.withColumn("_digest", text_digest(text_col))
-    return join_to_unique(marked, known, "_digest", "left_anti" if clean else "left_semi").drop("_digest")
+    how = "left_anti" if clean else "left_semi"
+    return join_to_unique(marked, _train_digests(train, text_col), "_digest", how).drop("_digest")
 
 
 def corpus_union(sources: dict[str, DataFrame], text_col: str = "text", id_col: str = "doc_id") -> DataFrame:

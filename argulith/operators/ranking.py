@@ -29,11 +29,18 @@ def _with_bucket(df: DataFrame, id_col: str, seed: int, digits: int) -> DataFram
 
 
 def _positions(df: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
-    """Zero-based ``out`` within ``group``, given a ``_bucket`` column that follows the order."""
+    """Zero-based ``out`` within ``group``, given a ``_bucket`` column that follows the order.
+
+    Also adds the size of the group as ``_total``. The windows over ``group`` run on one row per
+    bucket; only the window over ``group`` and bucket runs on the rows.
+    """
     sizes = df.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    running = Window.partitionBy(*group).orderBy("_bucket")
+    in_group = Window.partitionBy(*group)
     offsets = sizes.select(
-        *group, "_bucket", (F.sum("_size").over(running) - F.col("_size")).alias("_offset")
+        *group,
+        "_bucket",
+        (F.sum("_size").over(in_group.orderBy("_bucket")) - F.col("_size")).alias("_offset"),
+        F.sum("_size").over(in_group).alias("_total"),
     )
     inside = Window.partitionBy(*group, "_bucket").orderBy(*order)
     return (
@@ -48,7 +55,7 @@ def shuffled_index(
 ) -> DataFrame:
     """Seeded permutation of the whole table: every row gets its new index."""
     keyed = _with_bucket(df, id_col, seed, digits)
-    return _positions(keyed, [], ["_hash", id_col], out).drop("_hash")
+    return _positions(keyed, [], ["_hash", id_col], out).drop("_hash", "_total")
 
 
 def row_index(df: DataFrame, key: str, out: str = "row_idx", buckets: int | None = None) -> DataFrame:
@@ -59,7 +66,7 @@ def row_index(df: DataFrame, key: str, out: str = "row_idx", buckets: int | None
     ranges = QuantileDiscretizer(
         numBuckets=buckets, inputCol="_key", outputCol="_bucket", relativeError=0.1 / buckets
     ).fit(keyed.select("_key"))
-    return _positions(ranges.transform(keyed).drop("_key"), [], [key], out)
+    return _positions(ranges.transform(keyed).drop("_key"), [], [key], out).drop("_total")
 
 
 def rank_in_class(
@@ -74,8 +81,7 @@ def rank_in_class(
     """One-based position of a row in its class in seeded order, and the size of the class."""
     keyed = _with_bucket(df, id_col, seed, digits)
     ranked = _positions(keyed, [label_col], ["_hash", id_col], out).drop("_hash")
-    sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias(size))
-    return ranked.withColumn(out, F.col(out) + 1).join(broadcast_bounded(sizes), label_col)
+    return ranked.withColumn(out, F.col(out) + 1).withColumnRenamed("_total", size)
 
 
 def sample_n(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:

@@ -8,8 +8,8 @@ searched block after block.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import partial, reduce
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from argulith.functions.vectors import as_double
+from argulith.session import scratch_path, stage
 
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
 SCORE_PLACES = 12  # scores that agree so far are ties, whatever order a product was summed in
@@ -167,35 +168,46 @@ def _product(corpus: DataFrame, queries: pa.Table, state, schema: str, by_cell:
     return corpus.select(*columns).mapInArrow(multiply, schema)
 
 
-def _query_blocks(queries: DataFrame, block_bytes: int) -> Iterator[pa.Table]:
-    """The queries in parts that each fit the bound; usually one, fetched by one job."""
+def _in_blocks(
+    queries: DataFrame, corpus: DataFrame, run: Callable[[DataFrame, pa.Table], DataFrame], schema: str, block_bytes: int
+) -> DataFrame:
+    """``run`` for all queries against the corpus, in blocks of queries that each fit the bound.
+
+    The usual query set is one block, and the result a lazy plan. More blocks are run one after
+    the other, each appending to a table in the shared folder, so that never more than one block
+    is held anywhere; queries and corpus are staged first, so that no block computes them again.
+    """
+    spark = corpus.sparkSession
     first = queries.limit(_FIRST_FETCH_ROWS + 1).toArrow()
+    if not first.num_rows:
+        return spark.createDataFrame([], schema)
     if first.num_rows <= _FIRST_FETCH_ROWS:
-        if first.num_rows:
-            yield first
-        return
+        return run(corpus, first)
     most = max(1, block_bytes // (8 * len(first["vector"][0])))
+    queries = stage(queries, "queries")
     parts = -(-queries.count() // most)
+    if parts == 1:
+        return run(corpus, queries.toArrow())
     while True:
         part = F.pmod(F.xxhash64("query_id"), F.lit(parts))
         if queries.groupBy(part.alias("part")).count().agg(F.max("count")).first()[0] <= most:
             break
         parts *= 2  # keys are unique, so the parts keep shrinking
+    corpus = stage(corpus, "passages")
+    path = scratch_path(spark, "found")
     for n in range(parts):
-        yield queries.filter(part == n).toArrow()
+        run(corpus, queries.filter(part == n).toArrow()).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 _HIT = "query_id long, id long, score double"
 
 
 def _search(queries: DataFrame, corpus: DataFrame, k: int, by_cell: bool, block_bytes: int) -> DataFrame:
-    found = [
-        _product(corpus, block, partial(_Block, k=k), _HIT, by_cell)
-        for block in _query_blocks(queries, block_bytes)
-    ]
-    if not found:
-        found = [corpus.sparkSession.createDataFrame([], _HIT)]
-    return topk_per_query(reduce(DataFrame.unionByName, found), k)
+    def run(passages: DataFrame, block: pa.Table) -> DataFrame:
+        return topk_per_query(_product(passages, block, partial(_Block, k=k), _HIT, by_cell), k)
+
+    return _in_blocks(queries, corpus, run, f"{_HIT}, rank int", block_bytes)
 
 
 def _as_queries(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -220,22 +232,23 @@ def query_corpus_product(
     Per query: passages met, mean and largest inner product, passages above a bound. No pair ever
     leaves the task that computed it.
     """
-    schema = "query_id long, n long, total double, largest double, n_above long"
-    parts = [
-        _product(_as_passages(corpus, corpus_id, vector), block, partial(_Totals, above=above), schema, False)
-        for block in _query_blocks(_as_queries(queries, query_id, vector), block_bytes)
-    ]
-    if not parts:
-        parts = [corpus.sparkSession.createDataFrame([], schema)]
-    return (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy("query_id")
-        .agg(
-            F.sum("n").alias("n"),
-            (F.sum("total") / F.sum("n")).alias("mean_score"),
-            F.max("largest").alias("max_score"),
-            F.sum("n_above").alias("n_above"),
+    partials = "query_id long, n long, total double, largest double, n_above long"
+
+    def run(passages: DataFrame, block: pa.Table) -> DataFrame:
+        return (
+            _product(passages, block, partial(_Totals, above=above), partials, False)
+            .groupBy("query_id")
+            .agg(
+                F.sum("n").alias("n"),
+                (F.sum("total") / F.sum("n")).alias("mean_score"),
+                F.max("largest").alias("max_score"),
+                F.sum("n_above").alias("n_above"),
+            )
         )
+
+    schema = "query_id long, n long, mean_score double, max_score double, n_above long"
+    return _in_blocks(
+        _as_queries(queries, query_id, vector), _as_passages(corpus, corpus_id, vector), run, schema, block_bytes
     )
 
 

@@ -11,6 +11,7 @@ from argulith.operators.classify import LinearScorer, TextClassifier, score
 from argulith.operators.hits import hits_to_passages, top_hits_array
 from argulith.operators.metrics import confusion_matrix, metrics_record
 from argulith.operators.search import exact_topk
+from argulith.session import stage
 
 
 def predict(df: DataFrame, scorer: LinearScorer | TextClassifier, vector_col: str = "embedding") -> DataFrame:
@@ -33,8 +34,11 @@ def predict_with_retrieval(
     df: DataFrame, scorer: LinearScorer | TextClassifier, corpus: DataFrame, k: int = 3,
     id_col: str = "doc_id", corpus_id: str = "id", vector: str = "embedding",
 ) -> DataFrame:
-    """Predictions with the k most similar passages as ``(text, score)`` lists."""
-    hits = exact_topk(df, corpus, k, id_col, corpus_id, vector)
+    """Predictions with the k most similar passages as ``(text, score)`` lists.
+
+    The hits are staged: they are few, and looking for hot passages must not search twice.
+    """
+    hits = stage(exact_topk(df, corpus, k, id_col, corpus_id, vector), "hits")
     examples = top_hits_array(hits_to_passages(hits, corpus, corpus_id)).withColumnRenamed("query_id", id_col)
     return predict_batch(df, scorer, id_col).join(examples, id_col, "left")
 
