@@ -93,7 +93,7 @@ def rated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", F.concat(F.lit("class_"), (F.col("quality") * 2 + F.col("toxic")).cast("string")).alias("label")
     )
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source").join(labels, "doc_id")
+    return texts(spark, sf_dir, "lang", "source").join(labels, "doc_id")
 
 
 RATED_SQL = (

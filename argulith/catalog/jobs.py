@@ -37,7 +37,9 @@ from argulith.functions.text import clean_text, longer_than
 from argulith.operators import classify, dedup, hits, labels, ranking, search
 from argulith.plans import corpus as corpus_plan
 from argulith.plans import leakage, prepare, scoring
-from argulith.session import scratch_path, stage
+from argulith.session import scratch_path, spread, stage
+from argulith.sources.readers import scan_jsonl
+from argulith.sources.writers import sink_jsonl
 from argulith.streaming.score import stream_score, text_stream
 
 # --- the flagship: rated documents, cleaned, split, counted ---------------------------------------
@@ -107,7 +109,9 @@ def build_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def corpus_to_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers as passages, encoded and stored by cell; every benchmark text searches them."""
     path = scratch_path(spark, "corpus_index")
-    encoder, centres, index = corpus_plan.corpus_to_index(_passages(spark, sf_dir), path, n_cells=8, dimensions=128)
+    sink_jsonl(_passages(spark, sf_dir), f"{path}/corpus")
+    passages = scan_jsonl(spark, f"{path}/corpus")
+    encoder, centres, index = corpus_plan.corpus_to_index(passages, path, n_cells=8, dimensions=128)
     queries = corpus_plan.encode_queries(table(spark, sf_dir, "benchmark"), encoder)
     found = stage(search.ivf_topk(queries, index, centres, 5, len(centres), "item_id", "id"), "hits")
     return hits.hits_to_passages(found, index).select("query_id", "id", "rank", six("score").alias("score"), "text")
@@ -160,7 +164,7 @@ def _report(df: DataFrame) -> DataFrame:
 
 @query("leakage_report", report_sql(f"SELECT doc_id, text, label, split FROM ({MASKS_SQL})"))
 def leakage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _report(documents_with_masks(spark, sf_dir).select("doc_id", "text", "label", "split"))
+    return _report(spread(documents_with_masks(spark, sf_dir).select("doc_id", "text", "label", "split")))
 
 
 @query("leakage_audit", report_sql(f"SELECT doc_id, text, label, split FROM ({DATASET_SQL})"))

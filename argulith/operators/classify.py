@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -121,10 +123,9 @@ def encode_texts(df: DataFrame, encoder: PipelineModel, text_col: str = "text",
 
 def encode_texts_with(load_model, dimensions: int, batch_size: int = 64):
     """An encoding column function around a model loaded once per task; vectors are scaled to unit length."""
-    import pandas as pd
 
     @F.pandas_udf("array<double>")
-    def encoded(batches):
+    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = load_model()
         for texts in batches:
             parts = []

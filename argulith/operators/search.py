@@ -273,13 +273,15 @@ def exact_topk(
 # --- cells -----------------------------------------------------------------------------------
 
 
-def train_cells(corpus: DataFrame, n_cells: int = 100, seed: int = 42, vector: str = "embedding") -> list[list[float]]:
+def train_cells(
+    corpus: DataFrame, n_cells: int = 100, seed: int = 42, vector: str = "embedding", max_iter: int = 10
+) -> list[list[float]]:
     """Cell centres by k-means; ``n_cells`` vectors, whatever the size of the corpus."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     points = corpus.select(array_to_vector(as_double(F.col(vector))).alias("features"))
-    model = KMeans(k=n_cells, seed=seed, maxIter=20).fit(points)
+    model = KMeans(k=n_cells, seed=seed, maxIter=max_iter).fit(points)
     return [centre.tolist() for centre in model.clusterCenters()]
 
 

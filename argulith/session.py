@@ -46,8 +46,15 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A path in the shared folder that nobody has used before."""
-    return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A path in the shared folder, under the application's name, that nobody has used before."""
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application has staged; frames that read it are of no use afterwards."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/{context.applicationId}")
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
