@@ -25,7 +25,7 @@ def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "l2_normalize",
-    """SELECT vec_id, round(sum(u * u), 6) AS norm2, round(sum(u), 6) AS total FROM (
+    """SELECT vec_id, round(sum(u * u), 6) AS norm2, round(sum(u), 6) + 0.0 AS total FROM (
     SELECT vec_id, x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)) AS u FROM (
     SELECT vec_id, unnest(embedding)::DOUBLE * (label + 2) AS x FROM embeddings)) GROUP BY vec_id""",
 )
@@ -48,7 +48,7 @@ LOGITS_SQL = f"SELECT vec_id, l.label, class, sum(x * c) AS logit FROM ({LONG_SQ
 
 @query(
     "dot_score",
-    f"SELECT vec_id, round(logit, 6) AS score FROM ({LOGITS_SQL}) WHERE label = class",
+    f"SELECT vec_id, round(logit, 6) + 0.0 AS score FROM ({LOGITS_SQL}) WHERE label = class",
 )
 def dot_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with the centroid of its own class."""
@@ -111,7 +111,7 @@ FROM (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM em
 RANKED_SQL = f"SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM ({PAIRS_SQL})"
 
 
-@query("exact_topk", f"SELECT query_id, id, round(score, 6) AS score, rank FROM ({RANKED_SQL}) WHERE rank <= 5")
+@query("exact_topk", f"SELECT query_id, id, round(score, 6) + 0.0 AS score, rank FROM ({RANKED_SQL}) WHERE rank <= 5")
 def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest of all vectors, for every vector."""
     embeddings = _embeddings(spark, sf_dir)
@@ -121,7 +121,7 @@ def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "query_corpus_product",
-    f"""SELECT query_id, count(*) AS n, round(avg(score), 6) AS mean_score, round(max(score), 6) AS max_score,
+    f"""SELECT query_id, count(*) AS n, round(avg(score), 6) + 0.0 AS mean_score, round(max(score), 6) + 0.0 AS max_score,
     count(*) FILTER (score > 0.3) AS n_above FROM ({PAIRS_SQL}) GROUP BY query_id""",
 )
 def query_corpus_product(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -476,7 +476,7 @@ def _grounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.grounding_score(scored, found, passages, "vec_id", "second", "second_score", "vec_id")
 
 
-@query("grounding_score", f"SELECT vec_id, round(first_score, 6) AS first_score, round(second_score, 6) AS second_score FROM ({_GROUNDED_SQL})")
+@query("grounding_score", f"SELECT vec_id, round(first_score, 6) + 0.0 AS first_score, round(second_score, 6) + 0.0 AS second_score FROM ({_GROUNDED_SQL})")
 def grounding_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _grounded(spark, sf_dir).select(
         "vec_id", six("first_score").alias("first_score"), six("second_score").alias("second_score")
