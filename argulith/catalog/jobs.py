@@ -94,7 +94,8 @@ FROM (SELECT *, {clean_sql('argument')} AS t FROM ({_ANSWERS_SQL}) WHERE length(
 
 
 def _passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    answers = corpus_plan.conversation_arguments(table(spark, sf_dir, "conversations"))
+    conversations = table(spark, sf_dir, "conversations")
+    answers = corpus_plan.conversation_arguments(conversations, corpus_plan.QUESTION_CHARS)
     return corpus_plan.build_corpus(answers, gazetteer(spark, sf_dir))
 
 

@@ -11,6 +11,7 @@ from argulith import fixed_values as fixed
 from argulith.catalog.base import CANONICAL_SQL, SPLIT_CASE_SQL, SPLIT_SQL, canonical_documents, query, quoted, rated_documents, six, table, texts
 from argulith.catalog.texts import TOKENS_SQL, explanation_sql
 from argulith.functions import vectors as vx
+from argulith.operators.bounded import broadcast_bounded
 from argulith.operators import classify, hits, metrics, ranking, search, tfidf
 from argulith.plans import scoring
 from argulith.session import scratch_path, stage
@@ -53,7 +54,7 @@ LOGITS_SQL = f"SELECT vec_id, l.label, class, sum(x * c) AS logit FROM ({LONG_SQ
 def dot_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with the centroid of its own class."""
     embeddings = _embeddings(spark, sf_dir)
-    centroids = F.broadcast(classify.class_centroids(embeddings).limit(classify.MAX_CLASSES))
+    centroids = broadcast_bounded(classify.class_centroids(embeddings))
     return embeddings.join(centroids, "label").select(
         "vec_id", six(vx.dot_score(F.col("embedding"), F.col("centroid"))).alias("score")
     )
@@ -472,8 +473,8 @@ def _grounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("vec_id"))
     passages = embeddings.join(rated, "vec_id", "left_semi")
     found = stage(search.exact_topk(embeddings, embeddings, 3), "hits")
-    scored = hits.grounding_score(cases, found, passages, "vec_id", "first", "first_score", "vec_id")
-    return hits.grounding_score(scored, found, passages, "vec_id", "second", "second_score", "vec_id")
+    scores = {"first": "first_score", "second": "second_score"}
+    return hits.grounding_score(cases, found, passages, "vec_id", scores, "vec_id")
 
 
 @query("grounding_score", f"SELECT vec_id, round(first_score, 6) + 0.0 AS first_score, round(second_score, 6) + 0.0 AS second_score FROM ({_GROUNDED_SQL})")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,19 +22,25 @@ def norm(vector: Column) -> Column:
     return F.sqrt(F.aggregate(as_double(vector), F.lit(0.0), lambda total, x: total + x * x))
 
 
+def _with_each(vector: Column, value: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Combine every element with one value of the row.
+
+    The value is repeated into an array: inside the lambda it would be computed for every element.
+    """
+    return F.zip_with(vector, F.array_repeat(value, F.size(vector)), combine)
+
+
 def l2_normalize(vector: Column) -> Column:
     """Unit length; the zero vector stays as it is."""
     length = norm(vector)
-    return F.when(length > 0, F.transform(as_double(vector), lambda x: x / length)).otherwise(
-        as_double(vector)
-    )
+    divisor = F.when(length > 0, length).otherwise(1.0)
+    return _with_each(as_double(vector), divisor, lambda x, n: x / n)
 
 
 def softmax(logits: Column) -> Column:
-    top = F.array_max(logits)
-    powers = F.transform(logits, lambda x: F.exp(x - top))
+    powers = _with_each(logits, F.array_max(logits), lambda x, top: F.exp(x - top))
     total = F.aggregate(powers, F.lit(0.0), lambda t, p: t + p)
-    return F.transform(powers, lambda p: p / total)
+    return _with_each(powers, total, lambda p, t: p / t)
 
 
 def argmax(values: Column) -> Column:

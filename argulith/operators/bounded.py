@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 20_000
@@ -22,6 +22,14 @@ def broadcast_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+def fetch_bounded(df: DataFrame, max_rows: int, what: str) -> list[Row]:
+    """All rows of a table that must be small; an error, never a cut, if it is not."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} {what}")
+    return rows
+
+
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> list:
     """Keys with ``min_rows`` rows or more, the ``MAX_HOT_KEYS`` most frequent at most.
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from argulith.functions.text import word_tokens
 from argulith.functions.vectors import argmax, as_double, softmax
-from argulith.operators.bounded import broadcast_bounded
+from argulith.operators.bounded import broadcast_bounded, fetch_bounded
 from argulith.operators.labels import class_weights, encode_label, label_index
 
 MAX_CLASSES = 10_000
@@ -59,9 +59,7 @@ def centroid_scorer(
     df: DataFrame, label_col: str = "label", vector_col: str = "embedding", unit: bool = False
 ) -> LinearScorer:
     """Class centroids as weights, optionally scaled to unit length; one row per class is fetched."""
-    rows = class_centroids(df, label_col, vector_col).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
+    rows = fetch_bounded(class_centroids(df, label_col, vector_col), MAX_CLASSES, "classes")
     rows.sort(key=lambda r: r[label_col])
     weights = np.array([r["centroid"] for r in rows])
     if unit:
@@ -183,4 +181,10 @@ def train_classifier(
         )
     ]
     model = Pipeline(stages=stages).fit(with_tokens(weighted, text_col).select("tokens", "label_id", "weight"))
-    return TextClassifier(model, [r[label_col] for r in index.orderBy("label_id").limit(MAX_CLASSES).collect()])
+    return TextClassifier(model, labels_in_order(index, label_col))
+
+
+def labels_in_order(index: DataFrame, label_col: str = "label") -> list:
+    """The labels of a label table by id."""
+    rows = fetch_bounded(index.select("label_id", label_col), MAX_CLASSES, "classes")
+    return [label for _, label in sorted(tuple(r) for r in rows)]

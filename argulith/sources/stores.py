@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from argulith.operators.classify import MAX_CLASSES, TextClassifier
+from argulith.operators.classify import TextClassifier, labels_in_order
 from argulith.operators.labels import label_index
 from argulith.sources.readers import exists
 
@@ -59,5 +58,4 @@ def save_model(spark: SparkSession, classifier: TextClassifier, path: str) -> No
 
 def load_model(spark: SparkSession, path: str) -> TextClassifier:
     index = load_label_map(spark, f"{path}/label_map")
-    labels = [r["label"] for r in index.orderBy(F.col("label_id")).limit(MAX_CLASSES).collect()]
-    return TextClassifier(PipelineModel.load(f"{path}/model"), labels)
+    return TextClassifier(PipelineModel.load(f"{path}/model"), labels_in_order(index))

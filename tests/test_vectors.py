@@ -217,8 +217,7 @@ def test_grounding_and_fusion(spark):
     cases = spark.createDataFrame([(0, [1.0, 0.0], [0.0, 1.0]), (1, [0.0, 1.0], [1.0, 0.0]), (2, [1.0, 0.0], [0.0, 1.0])], "case long, a array<double>, b array<double>")
     passages = spark.createDataFrame([(10, [1.0, 0.0]), (11, [0.8, 0.6])], "id long, embedding array<double>")
     matched = spark.createDataFrame([(0, 10), (0, 11), (1, 10), (1, 99)], "query_id long, id long")
-    scored = hits.grounding_score(cases, matched, passages, "case", "a", "sa")
-    scored = hits.grounding_score(scored, matched, passages, "case", "b", "sb")
+    scored = hits.grounding_score(cases, matched, passages, "case", {"a": "sa", "b": "sb"})
     got = {r["case"]: (r["sa"], r["sb"]) for r in scored.collect()}
     assert got[0] == pytest.approx((0.9, 0.3)) and got[1] == pytest.approx((0.0, 1.0)) and got[2] == (0.0, 0.0)
     texts = scored.withColumn("ta", F.lit("first")).withColumn("tb", F.lit("second"))
