@@ -22,6 +22,7 @@ from argulith.session import scratch_path, stage
 
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
 SCORE_PLACES = 12  # scores that agree so far are ties, whatever order a product was summed in
+_ROUNDING = 10.0**-SCORE_PLACES
 _PRODUCT_ROWS = 2_048  # queries times passages held as one dense product
 _FIRST_FETCH_ROWS = 4_096
 
@@ -59,31 +60,48 @@ class _Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
         self.ids, self.vectors, self.k = ids, vectors, k
-        self.scores = np.full((len(ids), 0), 0.0)
-        self.hits = np.full((len(ids), 0), 0, dtype=np.int64)
-
-    def _merge(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        scores, ids = _best(scores, ids, self.k)
-        missing = self.k - scores.shape[1]
-        if missing:
-            scores = np.pad(scores, ((0, 0), (0, missing)), constant_values=-np.inf)
-            ids = np.pad(ids, ((0, 0), (0, missing)))
-        if not self.scores.shape[1]:
-            self.scores = np.full((len(self.ids), self.k), -np.inf)
-            self.hits = np.zeros((len(self.ids), self.k), dtype=np.int64)
+        self.scores = np.full((len(ids), k), -np.inf)
+        self.hits = np.zeros((len(ids), k), dtype=np.int64)
+
+    def _merge_all(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Queries without k hits yet: any passage may be one."""
+        scores, ids = _best(np.round(scores, SCORE_PLACES), ids, self.k)
         both = np.concatenate([self.scores[rows], scores], axis=1)
         found = np.concatenate([self.hits[rows], ids], axis=1)
         order = np.lexsort((found, -both), axis=1)[:, : self.k]
         self.scores[rows] = np.take_along_axis(both, order, 1)
         self.hits[rows] = np.take_along_axis(found, order, 1)
 
+    def _merge_better(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Queries with k hits: only passages that reach the last of them matter, which are few."""
+        bound = self.scores[rows, -1] - _ROUNDING
+        row, column = np.nonzero(scores >= bound[:, None])
+        if not len(row):
+            return
+        touched = np.unique(row)
+        at = np.concatenate([np.repeat(touched, self.k), row])
+        value = np.concatenate([self.scores[rows[touched]].ravel(), np.round(scores[row, column], SCORE_PLACES)])
+        found = np.concatenate([self.hits[rows[touched]].ravel(), ids[column]])
+        order = np.lexsort((found, -value, at))
+        at = at[order]
+        place = np.arange(len(at)) - np.searchsorted(at, at)
+        keep = order[place < self.k]
+        self.scores[rows[touched]] = value[keep].reshape(-1, self.k)
+        self.hits[rows[touched]] = found[keep].reshape(-1, self.k)
+
     def add(self, ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray) -> None:
         for q in range(0, len(queries), _PRODUCT_ROWS):
             rows = queries[q : q + _PRODUCT_ROWS]
             for p in range(0, len(ids), _PRODUCT_ROWS):
-                part = vectors[p : p + _PRODUCT_ROWS]
-                scores = np.round(self.vectors[rows] @ part.T, SCORE_PLACES)
-                self._merge(rows, scores, ids[p : p + _PRODUCT_ROWS])
+                scores = self.vectors[rows] @ vectors[p : p + _PRODUCT_ROWS].T
+                some = ids[p : p + _PRODUCT_ROWS]
+                full = np.isfinite(self.scores[rows, -1])
+                if full.all():
+                    self._merge_better(rows, scores, some)
+                    continue
+                self._merge_all(rows[~full], scores[~full], some)
+                if full.any():
+                    self._merge_better(rows[full], scores[full], some)
 
     def batch(self) -> pa.RecordBatch:
         real = np.isfinite(self.scores)
@@ -111,7 +129,7 @@ class _Totals:
         for q in range(0, len(queries), _PRODUCT_ROWS):
             rows = queries[q : q + _PRODUCT_ROWS]
             for p in range(0, len(ids), _PRODUCT_ROWS):
-                scores = np.round(self.vectors[rows] @ vectors[p : p + _PRODUCT_ROWS].T, SCORE_PLACES)
+                scores = self.vectors[rows] @ vectors[p : p + _PRODUCT_ROWS].T
                 self.count[rows] += scores.shape[1]
                 self.total[rows] += scores.sum(axis=1)
                 self.largest[rows] = np.maximum(self.largest[rows], scores.max(axis=1))
