@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from argulith.functions.entities import mask_entities
@@ -11,6 +11,9 @@ from argulith.operators.dedup import dedup_exact, union_sources
 from argulith.operators.labels import canonical_label, encode_label, label_index
 from argulith.operators.ranking import stratified_split
 from argulith.session import stage
+from argulith.sources.readers import read_csv
+from argulith.sources.stores import save_label_map
+from argulith.sources.writers import sink_csv
 
 
 def clean_labelled(
@@ -53,3 +56,22 @@ def prepare_dataset(
 def split_summary(dataset: DataFrame, label_col: str = "label") -> DataFrame:
     """Rows per split and label."""
     return dataset.groupBy("split", label_col).agg(F.count(F.lit(1)).alias("n"))
+
+
+def save_dataset(dataset: DataFrame, path: str) -> None:
+    """The splits as CSV, one folder per split, written in one pass, and the label table."""
+    columns = ["doc_id", "text", "label", "label_id", "split"]
+    sink_csv(dataset.select(*columns), f"{path}/splits", partition_by="split")
+    index = dataset.select("label", "label_id").distinct()
+    save_label_map(index, f"{path}/label_map")
+
+
+def load_split(spark: SparkSession, path: str, split: str) -> DataFrame:
+    """One saved split as ``(doc_id, text, label, label_id)``; the other folders are not read."""
+    cells = read_csv(spark, f"{path}/splits/split={split}")
+    return cells.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        null_text_to_empty(F.col("text")).alias("text"),
+        "label",
+        F.col("label_id").cast("int").alias("label_id"),
+    )

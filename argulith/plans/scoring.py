@@ -40,7 +40,12 @@ def predict_with_retrieval(
     """
     hits = stage(exact_topk(df, corpus, k, id_col, corpus_id, vector), "hits")
     examples = top_hits_array(hits_to_passages(hits, corpus, corpus_id)).withColumnRenamed("query_id", id_col)
-    return predict_batch(df, scorer, id_col).join(examples, id_col, "left")
+    none = F.array().cast("array<struct<text: string, score: double>>")
+    return (
+        predict_batch(df, scorer, id_col)
+        .join(examples, id_col, "left")
+        .withColumn("similar_examples", F.coalesce("similar_examples", none))
+    )
 
 
 def predict_and_explain(

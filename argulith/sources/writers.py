@@ -10,9 +10,10 @@ def sink_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).json(path, ignoreNullFields=False)
 
 
-def sink_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def sink_csv(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: str | None = None) -> None:
     """CSV with a header and doubled quotes; blanks at the ends of cells are kept."""
-    df.write.mode(mode).csv(
+    writer = df.write.mode(mode)
+    (writer.partitionBy(partition_by) if partition_by else writer).csv(
         path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
 

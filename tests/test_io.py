@@ -154,6 +154,43 @@ def test_prepare_dataset(spark):
     assert got == {0: (f"{words} a on [DATE]", "ad_hominem", 0, "train"), 5: (f"{words} é", "straw_man", 1, "train")}
 
 
+def test_dataset_is_saved_by_split(spark, tmp_path):
+    rows = [(i, f'text "{i}"\nline, two', f"c{i % 2}", i % 2, ["train", "val", "test"][i % 3]) for i in range(30)]
+    dataset = spark.createDataFrame(rows, "doc_id long, text string, label string, label_id int, split string")
+    prepare.save_dataset(dataset, str(tmp_path))
+    for split in ("train", "val", "test"):
+        got = {tuple(r) for r in prepare.load_split(spark, str(tmp_path), split).collect()}
+        assert got == {r[:4] for r in rows if r[4] == split}
+    saved = stores.load_label_map(spark, str(tmp_path / "label_map"))
+    assert {tuple(r) for r in saved.collect()} == {("c0", 0), ("c1", 1)}
+
+
+def test_texts_are_scored_as_they_arrive(spark, tmp_path):
+    train = spark.createDataFrame([(i, "red apple" if i % 2 else "blue sea", "fruit" if i % 2 else "water") for i in range(40)], "doc_id long, text string, label string")
+    fitted = classify.train_classifier(train, dimensions=32)
+    folder, out = tmp_path / "requests", str(tmp_path / "out")
+    folder.mkdir()
+    (folder / "a.json").write_text('{"doc_id": 1, "text": "an apple"}\n{"doc_id": 2, "text": "the sea"}\n')
+    (folder / "b.json").write_text('{"doc_id": 3, "text": "%s"}\n' % ("apple " * 40))
+    requests = text_stream(spark, str(folder), "doc_id long, text string", 1, file_format="json")
+    stream_score(requests, lambda df: scoring.predict_batch(df, fitted), out, str(tmp_path / "checkpoint")).awaitTermination()
+    got = {r["doc_id"]: r for r in spark.read.parquet(out).collect()}
+    assert {i: r["fallacy"] for i, r in got.items()} == {1: "fruit", 2: "water", 3: "fruit"}
+    assert len(got[3]["text"]) == 100 and got[3]["confidence"] > 0.5
+
+
+def test_prediction_without_similar_passages(spark):
+    import numpy as np
+
+    scorer = classify.LinearScorer(["x", "y"], np.eye(2))
+    df = spark.createDataFrame([(1, "t", [1.0, 0.0])], "doc_id long, text string, embedding array<double>")
+    corpus_rows = df.select(F.col("doc_id").alias("id"), "text", "embedding")
+    one = scoring.predict_with_retrieval(df, scorer, corpus_rows).first()
+    assert (one["fallacy"], one["similar_examples"][0]["text"], one["similar_examples"][0]["score"]) == ("x", "t", 1.0)
+    none = scoring.predict_with_retrieval(df, scorer, corpus_rows.limit(0)).first()
+    assert none["similar_examples"] == []
+
+
 def test_build_corpus(spark):
     rows = [(1, "x" * 50, "q", "con"), (2, "X" * 700, "q" * 300, None), (3, None, None, "pro"), (4, "<i>" + "y" * 60, None, "pro")]
     got = {r["id"]: r for r in corpus.build_corpus(spark.createDataFrame(rows, "id long, argument string, question string, type string")).collect()}
