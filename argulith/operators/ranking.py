@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from argulith.operators.bounded import broadcast_bounded
+from argulith.session import stage
 
 HASH_DIGITS = 3  # 16 ** 3 buckets
 MAX_OFFSET_ROWS = 200_000  # four narrow columns, a few megabytes
@@ -69,6 +70,14 @@ def row_index(df: DataFrame, key: str, out: str = "row_idx", buckets: int | None
     return _positions(ranges.transform(keyed).drop("_key"), [], [key], out).drop("_total")
 
 
+def number_rows(df: DataFrame, out: str = "doc_id") -> DataFrame:
+    """Keys for a source that has none: unique and in the order of its files, with gaps.
+
+    Staged, so that every later read sees the same keys; ``row_index`` makes them consecutive.
+    """
+    return stage(df.withColumn(out, F.monotonically_increasing_id()), "numbered")
+
+
 def rank_in_class(
     df: DataFrame,
     label_col: str,

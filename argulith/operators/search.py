@@ -13,7 +13,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -182,18 +182,38 @@ def _product(corpus: DataFrame, queries: pa.Table, state, schema: str, by_cell:
                     kept.add(passages[inside], points[inside], by[cell])
         yield kept.batch()
 
-    columns = ["id", "vector", "cell"] if by_cell else ["id", "vector"]
-    return corpus.select(*columns).mapInArrow(multiply, schema)
+    if not by_cell:
+        return corpus.select("id", "vector").mapInArrow(multiply, schema)
+    probed = corpus.filter(F.col("cell").isin(sorted(wanted)))  # prunes folders of a stored index
+    return probed.select("id", "vector", "cell").mapInArrow(multiply, schema)
+
+
+def _blocks(queries: DataFrame, rows: int, most: int, order: list[Column]) -> tuple[DataFrame, int]:
+    """Staged queries with a ``block`` column, in ranges of ``order``, at most ``most`` rows each."""
+    parts = -(-rows // most)
+    while True:
+        ranged = queries.repartitionByRange(parts, *order).withColumn("block", F.spark_partition_id())
+        blocked = stage(ranged, "blocks", "block")
+        largest = blocked.groupBy("block").count().agg(F.max("count")).first()[0]
+        if largest <= most:
+            return blocked, parts
+        parts *= 2  # keys are unique, so the ranges keep shrinking
 
 
 def _in_blocks(
-    queries: DataFrame, corpus: DataFrame, run: Callable[[DataFrame, pa.Table], DataFrame], schema: str, block_bytes: int
+    queries: DataFrame,
+    corpus: DataFrame,
+    run: Callable[[DataFrame, pa.Table], DataFrame],
+    schema: str,
+    block_bytes: int,
+    by_cell: bool = False,
 ) -> DataFrame:
     """``run`` for all queries against the corpus, in blocks of queries that each fit the bound.
 
     The usual query set is one block, and the result a lazy plan. More blocks are run one after
     the other, each appending to a table in the shared folder, so that never more than one block
-    is held anywhere; queries and corpus are staged first, so that no block computes them again.
+    is held anywhere. Queries that start from the same cell share a block, which therefore reads
+    few cells; without cells the corpus is staged, so that no block computes it again.
     """
     spark = corpus.sparkSession
     first = queries.limit(_FIRST_FETCH_ROWS + 1).toArrow()
@@ -203,18 +223,18 @@ def _in_blocks(
         return run(corpus, first)
     most = max(1, block_bytes // (8 * len(first["vector"][0])))
     queries = stage(queries, "queries")
-    parts = -(-queries.count() // most)
-    if parts == 1:
+    rows = queries.count()
+    if rows <= most:
         return run(corpus, queries.toArrow())
-    while True:
-        part = F.pmod(F.xxhash64("query_id"), F.lit(parts))
-        if queries.groupBy(part.alias("part")).count().agg(F.max("count")).first()[0] <= most:
-            break
-        parts *= 2  # keys are unique, so the parts keep shrinking
-    corpus = stage(corpus, "passages")
+    near = [F.get("cells", 0)] if by_cell else []
+    blocked, parts = _blocks(queries, rows, most, [*near, F.col("query_id")])
+    if not by_cell:
+        corpus = stage(corpus, "passages")
     path = scratch_path(spark, "found")
     for n in range(parts):
-        run(corpus, queries.filter(part == n).toArrow()).write.mode("append").parquet(path)
+        block = blocked.filter(F.col("block") == n).drop("block").toArrow()
+        if block.num_rows:
+            run(corpus, block).write.mode("append").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -225,7 +245,7 @@ def _search(queries: DataFrame, corpus: DataFrame, k: int, by_cell: bool, block_
     def run(passages: DataFrame, block: pa.Table) -> DataFrame:
         return topk_per_query(_product(passages, block, partial(_Block, k=k), _HIT, by_cell), k)
 
-    return _in_blocks(queries, corpus, run, f"{_HIT}, rank int", block_bytes)
+    return _in_blocks(queries, corpus, run, f"{_HIT}, rank int", block_bytes, by_cell)
 
 
 def _as_queries(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -342,11 +362,7 @@ def ivf_topk(
     probes are filtered out before anything is read from them if the table is stored by cell.
     """
     probing = nearest_cells(_as_queries(queries, query_id, vector), centres, min(nprobe, len(centres)), "vector")
-    passages = _as_passages(cells, corpus_id, vector, "cell")
-    if nprobe < len(centres):
-        probed = [r[0] for r in probing.select(F.explode("cells").alias("cell")).distinct().collect()]
-        passages = passages.filter(F.col("cell").isin(probed))
-    return _search(probing, passages, k, True, block_bytes)
+    return _search(probing, _as_passages(cells, corpus_id, vector, "cell"), k, True, block_bytes)
 
 
 def recall_at_k(approximate: DataFrame, exact: DataFrame) -> DataFrame:

@@ -9,13 +9,24 @@ from argulith.functions.entities import mask_entities
 from argulith.functions.text import clean_text, longer_than, null_text_to_empty
 from argulith.operators.dedup import dedup_exact, union_sources
 from argulith.operators.labels import canonical_label, encode_label, label_index
-from argulith.operators.ranking import stratified_split
+from argulith.operators.ranking import number_rows, stratified_split
 from argulith.session import stage
-from argulith.sources.readers import read_csv
+from argulith.sources.readers import read_csv, resolve_sources, scan_csv
 from argulith.sources.stores import save_label_map
 from argulith.sources.writers import sink_csv
 
 
+def load_sources(spark: SparkSession, sources: list[tuple[str, str, str]]) -> DataFrame:
+    """CSV sources ``(path, text column, label column)`` as one table ``(doc_id, text, raw_label)``.
+
+    Paths that do not exist are skipped; it is an error if none does. Rows are numbered in the
+    order of the sources, so of copies the one of the first source is kept later on.
+    """
+    found = resolve_sources(spark, {path: path for path, _, _ in sources})
+    scans = [scan_csv(spark, path, text, label) for path, text, label in sources if path in found]
+    return number_rows(union_sources(*scans))
+
+
 def clean_labelled(
     sources: list[DataFrame], names: dict[str, list[str]] | None = None, min_chars: int = 50, normalise: bool = True
 ) -> DataFrame:

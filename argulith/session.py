@@ -57,14 +57,15 @@ def drop_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
+def stage(df: DataFrame, purpose: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     For plans that go over the same expensive input several times: later passes read only the
     columns they need, and a lost executor costs a re-read, not a recomputation.
     """
     path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

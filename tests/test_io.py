@@ -154,6 +154,21 @@ def test_prepare_dataset(spark):
     assert got == {0: (f"{words} a on [DATE]", "ad_hominem", 0, "train"), 5: (f"{words} é", "straw_man", 1, "train")}
 
 
+def test_sources_without_keys(spark, tmp_path):
+    long = "some words that are longer than fifty characters in all of them "
+    (tmp_path / "one.csv").write_text(f'id,source_article,logical_fallacies\n9,"{long}A\nB",ad hominem\n8,{long}C,false cause\n')
+    (tmp_path / "two.csv").write_text(f'updated_label,masked_articles\nstraw man,{long}C\nequivocation,{long}D\n')
+    raw = prepare.load_sources(spark, [
+        (str(tmp_path / "none.csv"), "x", "y"),
+        (str(tmp_path / "one.csv"), "source_article", "logical_fallacies"),
+        (str(tmp_path / "two.csv"), "masked_articles", "updated_label"),
+    ])
+    rows = raw.orderBy("doc_id").collect()
+    assert [r["raw_label"] for r in rows] == ["ad hominem", "false cause", "straw man", "equivocation"]
+    got = {r["text"]: r["label"] for r in prepare.prepare_dataset([raw]).collect()}
+    assert got == {f"{long}a b": "ad_hominem", f"{long}c": "false_cause", f"{long}d": "equivocation"}
+
+
 def test_dataset_is_saved_by_split(spark, tmp_path):
     rows = [(i, f'text "{i}"\nline, two', f"c{i % 2}", i % 2, ["train", "val", "test"][i % 3]) for i in range(30)]
     dataset = spark.createDataFrame(rows, "doc_id long, text string, label string, label_id int, split string")

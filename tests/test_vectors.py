@@ -53,6 +53,18 @@ def test_many_query_blocks_give_the_same_hits(spark, monkeypatch):
         assert (row["mean_score"], row["max_score"]) == pytest.approx((mine.mean(), mine.max()))
 
 
+def test_cells_in_many_blocks_read_only_near_cells(spark, monkeypatch, tmp_path):
+    points, df = vectors(spark, 400, hot=True)
+    centres = search.train_cells(df, 12)
+    search.assign_cells(df, centres).write.partitionBy("cell").parquet(str(tmp_path / "cells"))
+    cells = spark.read.parquet(str(tmp_path / "cells"))
+    whole = search.ivf_topk(df, cells, centres, 4, nprobe=2)
+    assert "PartitionFilters: [cell" in plan_of(whole)
+    monkeypatch.setattr(search, "_FIRST_FETCH_ROWS", 20)
+    blocks = search.ivf_topk(df, cells, centres, 4, nprobe=2, block_bytes=8 * 8 * 50)
+    assert found(blocks) == found(whole)
+
+
 def test_small_corpus_and_no_queries(spark):
     points, df = vectors(spark, 3)
     assert found(search.exact_topk(df, df, 5)) == brute(points, points, 5)
