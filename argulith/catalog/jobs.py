@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from argulith import fixed_values as fixed
 from argulith.catalog.base import (
     ENTITIES_SQL,
     MASKS_SQL,
@@ -112,10 +111,9 @@ def corpus_to_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "corpus_index")
     sink_jsonl(_passages(spark, sf_dir), f"{path}/corpus")
     passages = scan_jsonl(spark, f"{path}/corpus")
-    encoder, centres, index = corpus_plan.corpus_to_index(passages, path, n_cells=8, dimensions=128)
-    queries = corpus_plan.encode_queries(table(spark, sf_dir, "benchmark"), encoder)
-    found = stage(search.ivf_topk(queries, index, centres, 5, len(centres), "item_id", "id"), "hits")
-    return hits.hits_to_passages(found, index).select("query_id", "id", "rank", six("score").alias("score"), "text")
+    index = corpus_plan.corpus_to_index(passages, path, n_cells=8, dimensions=128)
+    found = corpus_plan.search_index(index, table(spark, sf_dir, "benchmark"), 5, id_col="item_id")
+    return found.select("query_id", "id", "rank", six("score").alias("score"), "text")
 
 
 @query(

@@ -33,7 +33,14 @@ def truncate_text(text: Column, n: int, tail: str = "") -> Column:
 
 
 def strip_html(text: Column) -> Column:
-    return F.regexp_replace(text, "<[^>]+>", " ")
+    """Tags become a blank.
+
+    Only the part up to the last ``>`` is searched, where every tag is closed: behind it each ``<``
+    would be followed to the end of the text in vain.
+    """
+    rest = F.substring_index(text, ">", -1)
+    closed = F.substr(text, F.lit(1), F.length(text) - F.length(rest))
+    return F.concat(F.regexp_replace(closed, "<[^>]+>", " "), rest)
 
 
 def strip_urls(text: Column) -> Column:

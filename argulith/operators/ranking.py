@@ -62,7 +62,7 @@ def shuffled_index(
 def row_index(df: DataFrame, key: str, out: str = "row_idx", buckets: int | None = None) -> DataFrame:
     """Consecutive index in the order of a unique numeric ``key``."""
     if buckets is None:
-        buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        buckets = min(4096, max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     keyed = df.withColumn("_key", F.col(key).cast("double"))
     ranges = QuantileDiscretizer(
         numBuckets=buckets, inputCol="_key", outputCol="_bucket", relativeError=0.1 / buckets

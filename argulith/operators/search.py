@@ -249,11 +249,12 @@ def _search(queries: DataFrame, corpus: DataFrame, k: int, by_cell: bool, block_
 
 
 def _as_queries(df: DataFrame, key: str, vector: str) -> DataFrame:
-    return df.select(F.col(key).cast("long").alias("query_id"), as_double(F.col(vector)).alias("vector"))
+    """Rows without a vector ask for nothing and are never found."""
+    return df.filter(F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("query_id"), as_double(F.col(vector)).alias("vector"))
 
 
 def _as_passages(df: DataFrame, key: str, vector: str, *more: str) -> DataFrame:
-    return df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector"), *more)
+    return df.filter(F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector"), *more)
 
 
 def query_corpus_product(

@@ -214,6 +214,20 @@ def test_build_corpus(spark):
     assert (got[4]["text_normalized"], got[4]["question"]) == ("y" * 60, "")
 
 
+def test_a_passage_finds_itself_in_a_reopened_index(spark, tmp_path):
+    words = ["tax", "school", "river", "music", "health", "road", "bread", "space"]
+    rows = [(i, " ".join([words[i % 8]] * 3 + [words[(i // 8) % 8], f"number{i}"]), "", "", "") for i in range(64)]
+    passages = spark.createDataFrame([(i, t, t, q, k) for i, t, q, k, _ in rows], readers.PASSAGE_SCHEMA)
+    corpus.corpus_to_index(passages, str(tmp_path / "index"), n_cells=8, dimensions=512)
+    index = corpus.open_index(spark, str(tmp_path / "index"))
+    queries = passages.select("id", "text")
+    exact = {(r["query_id"], r["rank"]): (r["id"], r["text"]) for r in corpus.search_index(index, queries, 3).collect()}
+    assert len(exact) == 64 * 3
+    assert sum(exact[i, 1] == (i, rows[i][1]) for i in range(64)) >= 60  # the prefix word may tip a few
+    probed = corpus.search_index(index, queries, 3, nprobe=8)
+    assert {(r["query_id"], r["rank"]): (r["id"], r["text"]) for r in probed.collect()} == exact
+
+
 def test_conversation_turns(spark):
     rows = [(7, 0, "system", "s"), (7, 1, "user", "q"), (7, 2, "assistant", "a"), (7, 2000, "assistant", "late"), (9, 0, "assistant", "first")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")

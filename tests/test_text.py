@@ -1,4 +1,5 @@
 import re
+import time
 import unicodedata
 
 from hypothesis import given, settings
@@ -43,6 +44,21 @@ def test_clean_text_is_lower_case(spark):
     assert column(spark, EDGES, tx.clean_text) == [python_clean(t).lower() for t in EDGES]
 
 
+def test_tags_follow_python(spark):
+    texts = ["a<b>c", "<>x", "<a<b>c", "a>b<c", "<<x>>", "no tags", "", None, "<i>😀</i> é > <u", "x<y z"]
+    assert column(spark, texts, tx.strip_html) == [t and re.sub(r"<[^>]+>", " ", t) for t in texts]
+
+
+def test_junk_texts_take_linear_time(spark):
+    from argulith.functions.entities import mask_entities
+
+    junk = ["<" * 400_000, "1" * 400_000, "1." * 200_000, " " * 400_000, "<a" * 200_000 + ">", "Aa " * 130_000]
+    started = time.time()
+    cleaned = column(spark, junk, lambda c: F.length(mask_entities(tx.clean_text(c))))
+    assert cleaned[0] == cleaned[1] == 400_000 and cleaned[3] == 0
+    assert time.time() - started < 20
+
+
 def test_blanks_that_nfkc_makes_are_kept(spark):
     # NFKC comes after the blanks are collapsed; U+FDFA contains blanks once normalised.
     assert column(spark, ["ﷺ"], tx.clean_text_cased)[0].count(" ") == 3
