@@ -72,18 +72,28 @@ def scored_embeddings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, clas
     return classify.score(embeddings, scorer), scorer
 
 
+def _logits(spark: SparkSession, sf_dir: str) -> tuple[classify.LinearScorer, DataFrame]:
+    embeddings = _embeddings(spark, sf_dir)
+    scorer = classify.centroid_scorer(embeddings)
+    return scorer, embeddings.select("vec_id", scorer.logits(F.col("embedding")).alias("logits"))
+
+
 @query("softmax", f"SELECT vec_id, class, round(p, 6) AS probability FROM ({PROBABILITIES_SQL})")
 def softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored, scorer = scored_embeddings(spark, sf_dir)
+    scorer, logits = _logits(spark, sf_dir)
     classes = F.array(*[F.lit(c) for c in scorer.labels])
-    pairs = F.explode(F.arrays_zip(classes.alias("class"), F.col("probabilities"))).alias("e")
-    return scored.select("vec_id", pairs).select("vec_id", "e.class", six("e.probabilities").alias("probability"))
+    pairs = F.explode(F.arrays_zip(classes.alias("class"), vx.softmax(F.col("logits")).alias("p"))).alias("e")
+    return logits.select("vec_id", pairs).select("vec_id", "e.class", six("e.p").alias("probability"))
 
 
 @query("argmax_label", f"SELECT vec_id, pred, round(confidence, 6) AS confidence FROM ({PREDICTIONS_SQL})")
 def argmax_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored, _ = scored_embeddings(spark, sf_dir)
-    return scored.select("vec_id", "pred", six("confidence").alias("confidence"))
+    scorer, logits = _logits(spark, sf_dir)
+    return logits.select(
+        "vec_id",
+        scorer.label_of(vx.argmax(F.col("logits"))).alias("pred"),
+        six(F.array_max(vx.softmax(F.col("logits")))).alias("confidence"),
+    )
 
 
 @query(

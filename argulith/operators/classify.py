@@ -18,13 +18,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from argulith.functions.text import word_tokens
-from argulith.functions.vectors import argmax, as_double, softmax
+from argulith.functions.vectors import as_double
 from argulith.operators.bounded import broadcast_bounded, fetch_bounded
 from argulith.operators.labels import class_weights, encode_label, label_index
 
 MAX_CLASSES = 10_000
 
 
+OUTCOME = T.StructType(
+    [
+        T.StructField("probabilities", T.ArrayType(T.DoubleType())),
+        T.StructField("position", T.IntegerType()),
+        T.StructField("confidence", T.DoubleType()),
+    ]
+)
+
+
+def _products(vectors: pa.Array, weights: np.ndarray) -> np.ndarray:
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return flat.reshape(len(vectors), weights.shape[1]) @ weights.T
+
+
+def _as_lists(rows: np.ndarray) -> pa.ListArray:
+    offsets = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))
+
+
 @dataclass
 class LinearScorer:
     """One weight vector per class; ids are positions in ``labels``."""
@@ -38,13 +57,28 @@ class LinearScorer:
 
         @F.arrow_udf(T.ArrayType(T.DoubleType()))
         def product(vectors: pa.Array) -> pa.Array:
-            flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-            scores = flat.reshape(len(vectors), weights.shape[1]) @ weights.T
-            offsets = np.arange(0, scores.size + 1, len(weights), dtype=np.int32)
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(scores.ravel()))
+            return _as_lists(_products(vectors, weights))
 
         return product(vector)
 
+    def outcome(self, vector: Column) -> Column:
+        """Struct of the softmax of the logits, the position of the first largest and its probability."""
+        weights = self.weights
+
+        @F.arrow_udf(OUTCOME)
+        def outcomes(vectors: pa.Array) -> pa.Array:
+            scores = _products(vectors, weights)
+            position = scores.argmax(axis=1)
+            powers = np.exp(scores - scores.max(axis=1, keepdims=True))
+            probabilities = powers / powers.sum(axis=1, keepdims=True)
+            confidence = probabilities[np.arange(len(position)), position]
+            return pa.StructArray.from_arrays(
+                [_as_lists(probabilities), pa.array(position.astype(np.int32)), pa.array(confidence)],
+                names=["probabilities", "position", "confidence"],
+            )
+
+        return outcomes(vector)
+
     def label_of(self, position: Column) -> Column:
         return F.get(F.array(*[F.lit(label) for label in self.labels]), position)
 
@@ -70,11 +104,11 @@ def centroid_scorer(
 def score(df: DataFrame, scorer: LinearScorer, vector_col: str = "embedding") -> DataFrame:
     """Add ``probabilities``, ``pred`` and ``confidence``."""
     return (
-        df.withColumn("_logits", scorer.logits(F.col(vector_col)))
-        .withColumn("probabilities", softmax(F.col("_logits")))
-        .withColumn("pred", scorer.label_of(argmax(F.col("_logits"))))
-        .withColumn("confidence", F.array_max("probabilities"))
-        .drop("_logits")
+        df.withColumn("_outcome", scorer.outcome(F.col(vector_col)))
+        .withColumn("probabilities", F.col("_outcome.probabilities"))
+        .withColumn("pred", scorer.label_of(F.col("_outcome.position")))
+        .withColumn("confidence", F.col("_outcome.confidence"))
+        .drop("_outcome")
     )
 
 

@@ -333,7 +333,8 @@ def nearest_cells(df: DataFrame, centres: list[list[float]], n: int, vector: str
         if not len(vectors):
             return pa.array([], pa.list_(pa.int32()))
         scores = _matrix(vectors).astype(np.float64) @ table.T
-        cells = np.argsort(-scores, axis=1, kind="stable")[:, :n].astype(np.int32)
+        best = scores.argmax(axis=1)[:, None] if n == 1 else np.argsort(-scores, axis=1, kind="stable")[:, :n]
+        cells = best.astype(np.int32)
         offsets = np.arange(0, cells.size + 1, cells.shape[1], dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells.ravel()))
 
