@@ -147,6 +147,10 @@ def test_similarity_of_splits(spark):
     assert got == pytest.approx(want)
     counted = tfidf.near_duplicate_count(tfidf.max_similarity(test, train, model)).first()
     assert (counted["near_duplicates"], counted["compared"]) == (1, 3)
+    copied = test.unionByName(spark.createDataFrame([(i, TEXTS[7]) for i in range(100, 140)], "doc_id long, text string"))
+    weighed = tfidf.near_duplicate_count(tfidf.distinct_similarity(copied, train, model)).first()
+    assert (weighed["near_duplicates"], weighed["compared"]) == (41, 43)
+    assert tfidf.max_similarity(copied, train, model).count() == 43
 
 
 PAIRS = [("a", "a")] * 5 + [("a", "b")] * 2 + [("b", "b")] * 3 + [("c", "a")] + [("b", "d")] * 2
