@@ -4,6 +4,7 @@ import pytest
 from conftest import plan_of
 
 from __spark_entry__ import entry, oracle_sql, queries
+from argulith.catalog import ORACLES, QUERIES
 from check import compare, connect
 
 
@@ -12,7 +13,7 @@ def connection(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_equals_its_sql(spark, sf_dir, connection, key):
     good, note = compare(spark, connection, sf_dir, key)
     assert good, note
@@ -20,17 +21,18 @@ def test_query_equals_its_sql(spark, sf_dir, connection, key):
 
 
 def test_only_fitted_models_go_without_sql():
-    assert set(queries()) - set(oracle_sql()) == {"ivf_topk", "train_classifier", "corpus_to_index"}
+    assert set(QUERIES) - set(ORACLES) == {"ivf_topk", "train_classifier", "corpus_to_index"}
     assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):
     assert entry(spark).columns == ["split", "label", "n", "chars"]
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_query_pairs_up_rows(spark, sf_dir, key):
     if key in {"train_classifier", "model_io", "corpus_to_index", "leakage_audit", "stream_score"}:
         return  # their plans read staged results
-    plan = plan_of(queries()[key](spark, sf_dir))
+    plan = plan_of(QUERIES[key](spark, sf_dir))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
