@@ -10,18 +10,20 @@ from __future__ import annotations
 
 import base64
 import json
+from array import array
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from argulith.llm.common import query, spare, table, with_text_columns
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-PIECES = 200_000  # encoded pieces that a task remembers; it forgets them all when it has more
+PIECES = 100_000  # encoded pieces that a task remembers; it forgets them all when it has more
 LONG_PIECE = 64  # longer pieces are not remembered
 
 
@@ -32,7 +34,7 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
-def read_ranks(spark, path: str) -> dict[bytes, int]:
+def read_ranks(path: str) -> dict[bytes, int]:
     """Byte string to id, from a file of ``base64 rank`` lines: 50,000 lines, read by the driver."""
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
@@ -67,34 +69,41 @@ def tokenizer_json(ranks: dict[bytes, int]) -> str:
     return Tokenizer(model).to_str()
 
 
-class Encoder:
-    """Texts to ids, in one task."""
+class Codec:
+    """Texts to ids and back, in one task."""
 
     def __init__(self, model_json: str, pattern: str) -> None:
         import regex
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(model_json).model
-        self.table = dict(enumerate(byte_characters()))
+        character = byte_characters()
+        self.table = dict(enumerate(character))
         self.split = regex.compile(pattern, regex.V0).findall
         self.seen: dict[str, list[int]] = {}
+        byte = {c: b for b, c in enumerate(character)}
+        vocabulary = json.loads(model_json)["model"]["vocab"]
+        self.tokens = {rank: bytes(byte[c] for c in token) for token, rank in vocabulary.items()}
 
     def piece(self, piece: str) -> list[int]:
         shown = piece.encode().decode("latin-1").translate(self.table)
         return [token.id for token in self.model.tokenize(shown)]
 
     def ids(self, text: str | None) -> np.ndarray:
-        seen, out = self.seen, []
-        if len(seen) > PIECES:
-            seen.clear()
+        seen, out = self.seen, array("i")
         for piece in self.split(text) if text else ():
             found = seen.get(piece)
             if found is None:
-                found = self.piece(piece)
+                found = array("i", self.piece(piece))
                 if len(piece) <= LONG_PIECE:
+                    if len(seen) >= PIECES:
+                        seen.clear()
                     seen[piece] = found
             out += found
-        return np.array(out, dtype=np.int32)
+        return np.frombuffer(out, dtype=np.int32) if out else np.empty(0, dtype=np.int32)
+
+    def bytes(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -128,18 +137,18 @@ def encode(
     fields = [StructField(spare("ids", df.columns), ArrayType(IntegerType(), False), False)]
     if offsets:
         fields.append(StructField(spare("starts", df.columns), ArrayType(IntegerType(), False), False))
-    held: list[Encoder] = []
+    held: list[Codec] = []
 
     def run(texts: list) -> list[pa.Array]:
         if not held:
-            held.append(Encoder(model, pattern))
+            held.append(Codec(model, pattern))
         ids = [held[0].ids(t) for t in texts]
         made = [_lists(ids)]
         if offsets:
             made.append(_lists([character_starts(t or "", sizes[i]) for t, i in zip(texts, ids)]))
         return made
 
-    return with_text_columns(df, text, StructType(fields), run, limit=4 << 20)
+    return with_text_columns(df, text, StructType(fields), run, limit=2 << 20)
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
@@ -150,22 +159,19 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFram
     U+FFFD in ``decoded`` only. Null ids give null, no ids give nothing; an id outside the
     vocabulary, or a null among the ids, is an error.
     """
-    character = {c: b for b, c in enumerate(byte_characters())}
-    vocabulary = json.loads(tokenizer_json(ranks))["model"]["vocab"]
-    shown = {rank: token for token, rank in vocabulary.items()}
+    model = tokenizer_json(ranks)
     at = df.columns.index(ids)
     names = [spare("bytes", df.columns), spare("decoded", df.columns)]
     schema = StructType([*df.schema.fields]).add(names[0], "binary").add(names[1], "string")
-    held: list[dict] = []
+    held: list[Codec] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not held:
-            held.append({rank: bytes(character[c] for c in token) for rank, token in shown.items()})
-        token = held[0].__getitem__
+            held.append(Codec(model, ""))
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                rows = [None if i is None else b"".join(map(token, i)) for i in part.column(at).to_pylist()]
+                rows = [None if i is None else held[0].bytes(i) for i in part.column(at).to_pylist()]
                 texts = [None if r is None else r.decode("utf-8", "replace") for r in rows]
                 made = [pa.array(rows, pa.binary()), pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], names=schema.names)
@@ -173,35 +179,36 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFram
     return df.mapInArrow(run, schema)
 
 
-def little_endian(df: DataFrame, ids: str, out: str) -> DataFrame:
-    """``out``: the ids as little-endian unsigned 32-bit integers."""
-    at = df.columns.index(ids)
-    schema = StructType([*df.schema.fields]).add(out, "binary")
+def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
+    """``df`` with ``ids`` and the SHA-256 of the ids and of what they decode to, in lowercase hex.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(at)
-            flat, ends = column.values.to_numpy().astype("<u4"), column.offsets.to_numpy()
-            made = [flat[a:b].tobytes() for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], names=schema.names)
+    The same as ``encode`` and ``decode`` one after the other, in one pass with one worker per task.
+    ``ids_sha256`` is over the ids as little-endian unsigned 32-bit integers, ``decoded_sha256`` over
+    the decoded bytes.
+    """
+    model = tokenizer_json(ranks)
+    kinds = {"ids": ArrayType(IntegerType(), False), "ids_sha256": StringType(), "decoded_sha256": StringType()}
+    fields = [StructField(spare(name, df.columns), kind, False) for name, kind in kinds.items()]
+    held: list[Codec] = []
 
-    return df.mapInArrow(run, schema)
+    def run(texts: list) -> list[pa.Array]:
+        if not held:
+            held.append(Codec(model, pattern))
+        ids = [held[0].ids(t) for t in texts]
+        packed = [sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids]
+        decoded = [sha256(held[0].bytes(i.tolist())).hexdigest() for i in ids]
+        return [_lists(ids), pa.array(packed, pa.string()), pa.array(decoded, pa.string())]
+
+    return with_text_columns(df, text, StructType(fields), run, limit=2 << 20)
 
 
 def token_digests(documents: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256, ids`` of every document."""
     import public_tokenizers
 
-    ranks = read_ranks(documents.sparkSession, ranks_path or public_tokenizers.path(RANKS))
-    encoded = encode(documents.select("doc_id", "text"), ranks, pattern or public_tokenizers.PATTERN)
-    decoded = decode(encoded.select("doc_id", "ids"), ranks).select("doc_id", "ids", "bytes")
-    return little_endian(decoded, "ids", "packed").select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2("packed", 256).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"),
-        "ids",
-    )
+    ranks = read_ranks(ranks_path or public_tokenizers.path(RANKS))
+    done = round_trip(documents.select("doc_id", "text"), ranks, pattern or public_tokenizers.PATTERN)
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", "decoded_sha256", "ids")
 
 
 @query("op2_byte_bpe")
