@@ -1,6 +1,6 @@
 """All operators of this package as queries over the given tables."""
 
-from argulith.llm import bpe, licenses, line_dedup, mixing, sharding, simhash, topk, toxicity  # noqa: F401  (they register themselves)
+from argulith.llm import bpe, licenses, line_dedup, mixing, quality, sharding, simhash, topk, toxicity  # noqa: F401  (they register themselves)
 from argulith.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
