@@ -110,9 +110,9 @@ def near_fingerprints(prints: DataFrame, max_bits: int = MAX_BITS, segments: int
 def link_simhash(
     rows: DataFrame, key: str = "doc_id", max_bits: int = MAX_BITS, segments: int = SEGMENTS
 ) -> DataFrame:
-    """``(fingerprint, component_id)`` for every distinct ``fingerprint`` of ``rows``.
+    """``(fingerprint, root, component_id)`` for every distinct ``fingerprint`` of ``rows``.
 
-    ``component_id`` is the smallest ``key`` among all rows that links reach; null keys count only
+    ``root`` is one of the component's fingerprints, ``component_id`` is the smallest ``key`` among all rows that links reach; null keys count only
     if there are no others. Links are pairs of rows whose fingerprints differ in ``max_bits`` bits
     or fewer, equal ones included.
     """
@@ -122,7 +122,7 @@ def link_simhash(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(least, "root").select("fingerprint", "component_id")
+    return rooted.join(least, "root").select("fingerprint", "root", "component_id")
 
 
 def near_duplicates(
@@ -168,7 +168,7 @@ def keep_one(
     firsts = narrow.groupBy("fingerprint").agg(F.min(order).alias("first"))
     winners = (
         firsts.join(linked, "fingerprint")
-        .groupBy(F.coalesce(F.col("component_id").cast("string"), F.lit("")).alias("c"))
+        .groupBy("root")
         .agg(F.min("first").alias("first"))
         .select(F.col("first.r").alias(row))
     )
