@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_rows(docs.withColumn(words, word_count(F.col("text"))), size=words)
     copies, cut = mixed.columns[-2:]
     times = F.col(copies) + ((2 * F.col(cut) > F.col(words)) & (F.col(cut) > 0)).cast("int")
-    repeated = mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times)))
+    repeated = mixed.withColumn(spare("_copy", mixed.columns), F.explode(F.array_repeat(F.lit(0), times)))
     return repeated.select(*docs.columns)
 
 
