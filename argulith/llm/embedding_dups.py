@@ -26,7 +26,7 @@ from argulith.llm.components import components, tile_roots
 from argulith.session import stage
 
 THRESHOLD = 0.98
-SAMPLE_VECTORS = 16_384  # vectors that train the quantisers; every vector is indexed
+SAMPLE_VECTORS = 16_384  # vectors, about, that train the quantisers; every vector is indexed
 LISTS_MOST = 1_024
 SUBSPACE = 4  # components per code
 CODES = 64  # codes per subspace
@@ -205,8 +205,9 @@ def link_vectors(
     alone = rows.filter(~F.col("able")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     if not total:
         return _finished(alone, key)
-    sampled = distinct.select("vector", "label").orderBy(F.xxhash64(F.lit(SEED), "vector", "label")).limit(sample_vectors)
-    sample = unit(padded([r[0] for r in sampled.select("vector").collect()], width))
+    sampled = distinct.select("vector").sample(min(1.0, sample_vectors / total), SEED).collect()
+    sampled = sampled or distinct.select("vector").head(1)
+    sample = unit(padded([r[0] for r in sampled], width))
     quantiser = Quantiser(sample, min(LISTS_MOST, max(1, math.ceil(math.sqrt(total) / 8))))
     index = stage(coded(distinct.select("row", "label", "copies", "vector"), quantiser, width, math.sqrt(2 - 2 * threshold)), "coded")
 
