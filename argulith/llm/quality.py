@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from argulith.llm.common import BLANKS, fold, query, spare, table
 from argulith.session import stage
 
-SAMPLE_ROWS = 20_000  # labelled rows that fit the ensemble; every row is scored
+SAMPLE_ROWS = 20_000  # labelled rows, about, that fit the ensemble; every row is scored
 TREES = 12
 DEPTH = 3
 LASSO = 0.002
@@ -114,17 +114,18 @@ class RuleEnsemble:
         return scored.withColumn(predicted, (F.col(score) >= 0.5).cast("int"))
 
 
-def fit(measured: DataFrame, label: str, key: str, sample_rows: int = SAMPLE_ROWS) -> RuleEnsemble:
+def fit(measured: DataFrame, label: str, sample_rows: int = SAMPLE_ROWS) -> RuleEnsemble:
     """A rule ensemble from rows with the statistics' columns and a label of 0 or 1 (others are ignored).
 
-    At most ``sample_rows`` rows, the first in hash order of ``key``, are used. Without both classes
-    the ensemble says the share of ones (1 if there are no rows).
+    A random sample of about ``sample_rows`` rows at most is used. Without both classes the ensemble
+    says the one class there is (1 if there are no rows).
     """
     names = list(statistics(F.lit("")))
     spark = measured.sparkSession
-    known = measured.filter(F.col(label).isin(0, 1)).withColumn("_order", F.xxhash64(F.lit(SEED), F.col(key)))
-    rows = known.orderBy("_order").limit(sample_rows).select(*names, F.col(label).cast("double").alias("label"))
-    rows = stage(rows.repartition(spark.sparkContext.defaultParallelism), "rated")
+    known = measured.filter(F.col(label).isin(0, 1)).select(*names, F.col(label).cast("double").alias("label"))
+    known = stage(known, "rated")
+    rows = known.sample(min(1.0, sample_rows / max(1, known.count())), SEED)
+    rows = rows.repartition(spark.sparkContext.defaultParallelism).persist()
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return RuleEnsemble((), -10.0 if 0.0 in counts else 10.0)
@@ -145,6 +146,7 @@ def fit(measured: DataFrame, label: str, key: str, sample_rows: int = SAMPLE_ROW
         featuresCol="rules", labelCol="label", elasticNetParam=1.0, regParam=LASSO, standardization=False, maxIter=60
     ).fit(held)
     held.unpersist()
+    rows.unpersist()
     weights = [float(w) for w in lasso.coefficients]
     return RuleEnsemble(tuple((r, w) for r, w in zip(rules, weights) if w), float(lasso.intercept))
 
@@ -162,7 +164,7 @@ def op8_quality(spark, sf_dir: str) -> DataFrame:
         documents.select("doc_id", *[c.alias(n) for n, c in statistics(F.col("text")).items()]), "statistics"
     )
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out("doc_id"))
-    ensemble = fit(measured.join(labels, "doc_id"), "quality", "doc_id")
+    ensemble = fit(measured.join(labels, "doc_id"), "quality")
     score = ensemble.chance({n: n for n in statistics(F.lit(""))})
     return measured.select("doc_id", held_out("doc_id").alias("held_out"), score.alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int")

@@ -62,7 +62,7 @@ def test_rules_are_conjunctions_of_few_statistics(spark):
         *[(F.pmod(F.xxhash64("id", F.lit(n)), F.lit(100)) / 100).alias(n) for n in names],
     )
     rows = rows.withColumn("quality", ((F.col("marks") <= 0.5) & (F.col("words") > 0.2)).cast("int"))
-    ensemble = quality.fit(rows, "quality", "doc_id")
+    ensemble = quality.fit(rows, "quality")
     used = {part[0] for rule, _ in ensemble.rules for part in rule.parts}
     assert {"marks", "words"} <= used and all(1 <= len(rule.parts) <= quality.DEPTH for rule, _ in ensemble.rules)
     same = {n: n for n in names}
@@ -106,7 +106,7 @@ def test_labels_of_one_kind_or_none(spark):
         model = toxicity.fit_toxicity(documents, labels)
         assert {r["score"] for r in model.score(documents).collect()} == {0.0}
         measured = documents.select("doc_id", *[c.alias(n) for n, c in quality.statistics(F.col("text")).items()])
-        ensemble = quality.fit(measured.join(labels, "doc_id"), "quality", "doc_id")
+        ensemble = quality.fit(measured.join(labels, "doc_id"), "quality")
         assert all(r["score"] > 0.9 for r in ensemble.score(documents).collect())
 
 
