@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from argulith.llm.common import fold, query, spare, table, with_text_columns
+from argulith.session import stage
 
 SAMPLE_DOCS = 2_000  # labelled texts per class that train the dictionaries; as many calibrate
 SAMPLE_CHARS = 16_000  # longer texts are not in that sample; every text is scored whole
@@ -175,39 +176,60 @@ class CompressionModel:
         return scored.withColumn(predicted, (F.col(score) >= 0.5).cast("int"))
 
 
+def sampled_texts(documents: DataFrame, known: DataFrame, key: str, text: str, sample_docs: int) -> DataFrame:
+    """``(label, calibrates, share, text)``: a hash sample of the labelled texts of ordinary length.
+
+    Keys and lengths are joined, not texts; the texts of the chosen keys (about ``sample_docs`` per
+    class and use at most) are then picked from the scan by a broadcast of those keys. A key that is
+    repeated counts once, with its least text.
+    """
+    order = F.xxhash64(F.lit(SEED), F.col("key"))
+    fitting = documents.select(F.col(key).alias("key"), F.length(text).alias("chars")).filter(
+        F.col("chars").between(1, SAMPLE_CHARS)
+    )
+    labelled = known.filter(F.col("label").isin(0, 1)).select(F.col(key).alias("key"), F.col("label").cast("int").alias("label"))
+    usable = (
+        fitting.join(labelled, "key")
+        .groupBy("key")
+        .agg(F.min("label").alias("label"))
+        .withColumn("calibrates", F.pmod(order, F.lit(4)) == 0)
+        .withColumn("at", F.shiftrightunsigned(order, 11).cast("double") / float(1 << 53))
+    )
+    sizes = usable.groupBy("label", "calibrates").agg(F.count(F.lit(1)).alias("share"))
+    chosen = usable.join(F.broadcast(sizes), ["label", "calibrates"]).filter(F.col("at") * F.col("share") < sample_docs)
+    keys = F.broadcast(chosen.select("key", "label", "calibrates", "share"))
+    found = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).join(keys, "key")
+    return (
+        found.filter(F.length("text").between(1, SAMPLE_CHARS))
+        .groupBy("key", "label", "calibrates", "share")
+        .agg(F.min("text").alias("text"))
+    )
+
+
 def fit(
-    rows: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", sample_docs: int = SAMPLE_DOCS
+    documents: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS
 ) -> CompressionModel:
-    """A model from labelled rows (1 toxic, 0 ordinary; others are ignored).
+    """A model from documents and ``known`` labels (key, ``label``: 1 toxic, 0 ordinary, others ignored).
 
-    Per class, at most ``sample_docs`` texts of 1 to ``SAMPLE_CHARS`` characters, the first in hash
-    order of ``key``, train the dictionaries; at most as many others calibrate, weighted back to
-    their class's share: one in four calibrates. So at most 4 x ``sample_docs`` texts reach the driver.
+    Per class, a hash sample of about ``sample_docs`` texts of 1 to ``SAMPLE_CHARS`` characters at
+    most trains the dictionaries; another, one labelled text in four, calibrates, weighted back to
+    its class's share. So about 2 x ``sample_docs`` texts reach the driver.
     """
-    order = F.xxhash64(F.lit(SEED), F.col(key))
-    usable = rows.filter(F.col(label).isin(0, 1) & F.length(text).between(1, SAMPLE_CHARS)).select(
-        F.col(text).alias("text"), F.col(label).cast("int").alias("label"), order.alias("order"),
-        (F.pmod(order, F.lit(4)) == 0).alias("calibrates"),
-    )
-    shares = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-    def sample(kind: int, calibrates: bool) -> DataFrame:
-        part = usable.filter((F.col("label") == kind) & (F.col("calibrates") == calibrates))
-        return part.orderBy("order", "text").limit(sample_docs).select("text", "label")
-
-    texts = [[r["text"] for r in sample(kind, False).collect()] for kind in (0, 1)]
+    sample = stage(sampled_texts(documents, known, key, text, sample_docs), "labelled")
+    texts = [
+        [r["text"] for r in sample.filter((F.col("label") == kind) & ~F.col("calibrates")).orderBy("key").collect()]
+        for kind in (0, 1)
+    ]
     if not texts[0] or not texts[1]:
         return CompressionModel(None, np.zeros(1 + len(FEATURES)))
     pair = dictionaries(*texts)
-    seen = sample(0, True).unionByName(sample(1, True))
-    table_ = with_features(seen.repartition(rows.sparkSession.sparkContext.defaultParallelism), "text", pair).select(
-        "label", *FEATURES
-    )
-    found = np.array([tuple(r) for r in table_.collect()], dtype=float).reshape(-1, 1 + len(FEATURES))
-    y, x = found[:, 0], found[:, 1:]
+    seen = sample.filter("calibrates").repartition(documents.sparkSession.sparkContext.defaultParallelism)
+    measured = with_features(seen, "text", pair).select("label", "share", *FEATURES)
+    found = np.array([tuple(r) for r in measured.collect()], dtype=float).reshape(-1, 2 + len(FEATURES))
+    y, share, x = found[:, 0], found[:, 1], found[:, 2:]
     if len(set(y)) < 2:
         return CompressionModel(None, np.zeros(1 + len(FEATURES)))
-    weight = np.where(y == 1, shares[1] / (y == 1).sum(), shares[0] / (y == 0).sum())
+    weight = np.array([share[i] / (y == y[i]).sum() for i in range(len(y))])
     return CompressionModel(pair, logistic(x, y, weight * len(y) / weight.sum()))
 
 
@@ -219,7 +241,7 @@ def held_out(key: str) -> Column:
 def fit_toxicity(documents: DataFrame, labels: DataFrame) -> CompressionModel:
     """The model of ``labels.toxic`` from the documents that are not held out."""
     known = labels.select(F.col("doc_id"), F.col("toxic").alias("label")).filter(~held_out("doc_id"))
-    return fit(documents.select("doc_id", "text").join(known, "doc_id"))
+    return fit(documents, known)
 
 
 @query("op9_toxicity")
