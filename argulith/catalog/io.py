@@ -83,10 +83,10 @@ def sink_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "lang", "source", _digest("text", "text_md5"), "n_chars")
 
 
-@query("sink_csv", f"SELECT doc_id, md5(text) AS text_md5, label FROM ({RATED_SQL})")
+@query("sink_csv", f"SELECT doc_id, md5(text) AS text_md5, label FROM ({CANONICAL_SQL})")
 def sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "split")
-    writers.sink_csv(rated_documents(spark, sf_dir).select("doc_id", "text", "label"), path)
+    writers.sink_csv(canonical_documents(spark, sf_dir).select("doc_id", "text", "label"), path)
     back = readers.read_csv(spark, path)
     return back.select(F.col("doc_id").cast("long").alias("doc_id"), _digest("text", "text_md5"), "label")
 

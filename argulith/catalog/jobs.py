@@ -30,7 +30,8 @@ from argulith.catalog.texts import (
     gazetteer,
     masked_sql,
 )
-from argulith.catalog.vectors import PREDICTIONS_SQL, PAIRS_SQL, _DESCRIBED_SQL, _NAMED_SQL, _NAMES, _described, tfidf_ctes
+from argulith.catalog.vectors import PREDICTIONS_SQL, PAIRS_SQL, _DESCRIBED_SQL, _FOUND_SQL, _NAMED_SQL, _NAMES, _described, tfidf_ctes
+from argulith.catalog.vectors import _passages as _described_passages
 from argulith.functions.explain import template_explanation
 from argulith.functions.text import clean_text, longer_than
 from argulith.operators import classify, dedup, hits, labels, ranking, search
@@ -105,15 +106,35 @@ def build_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("corpus_to_index")
+@query(
+    "corpus_to_index",
+    f"""SELECT item_id AS query_id, least(5, (SELECT count(*) FROM ({_CORPUS_SQL}))) AS n_found, true AS ranks_run,
+    true AS scores_fall, least(5, (SELECT count(*) FROM ({_CORPUS_SQL}))) AS n_own_texts FROM benchmark""",
+)
 def corpus_to_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers as passages, encoded and stored by cell; every benchmark text searches them."""
+    """Answers as passages, encoded and stored by cell; every benchmark text searches them.
+
+    SQL cannot follow k-means; it knows how many hits each query has, that they are ranked by falling
+    scores, and that each shows the text of the passage it names.
+    """
     path = scratch_path(spark, "corpus_index")
     sink_jsonl(_passages(spark, sf_dir), f"{path}/corpus")
     passages = scan_jsonl(spark, f"{path}/corpus")
     index = corpus_plan.corpus_to_index(passages, path, n_cells=8, dimensions=128)
     found = corpus_plan.search_index(index, table(spark, sf_dir, "benchmark"), 5, id_col="item_id")
-    return found.select("query_id", "id", "rank", six("score").alias("score"), "text")
+    own = passages.select("id", F.md5(F.substring("text", 1, 200)).alias("own_md5"))  # hits show 200 characters
+    hits_ = found.join(own, "id", "left").groupBy("query_id").agg(
+        F.sort_array(F.collect_list(F.struct("rank", (-F.col("score")).alias("low")))).alias("hits"),
+        F.count_if(F.col("own_md5") == F.md5("text")).alias("n_own_texts"),
+    )
+    ranks, lows = F.col("hits.rank"), F.col("hits.low")
+    return hits_.select(
+        "query_id",
+        F.size("hits").cast("long").alias("n_found"),
+        (ranks == F.sequence(F.lit(1), F.size("hits"))).alias("ranks_run"),
+        (lows == F.sort_array(lows)).alias("scores_fall"),
+        "n_own_texts",
+    )
 
 
 @query(
@@ -124,7 +145,7 @@ def corpus_to_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def corpus_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-    forum = table(spark, sf_dir, "conversations").select((F.shiftleft("conv_id", 32) + F.col("turn")).alias("id"), "text")
+    forum = table(spark, sf_dir, "conversations").select(corpus_plan.passage_key(F.col("conv_id"), F.col("turn")).alias("id"), "text")
     both = dedup.corpus_union({"documents": documents, "forum": forum}, id_col="id")
     return both.select("corpus", "id", F.md5("text").alias("text_md5"))
 
@@ -219,22 +240,22 @@ def concept_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "generator_pairs",
     f"""SELECT md5('text: ' || text || ' label: ' || label || ' passages: ' || hits) AS input_md5, md5(explanation) AS target_md5 FROM (
-    SELECT d.text, d.label, d.explanation, string_agg(t.text[1:200], ' | ' ORDER BY h.rank) AS hits FROM (
-      SELECT vec_id, text, confidence, label, {explanation_sql()} AS explanation FROM (
-        SELECT vec_id, text, confidence, {_NAMED_SQL.replace('label', 'pred')} AS label FROM ({_DESCRIBED_SQL}))) d
-    JOIN (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM ({PAIRS_SQL})
-      WHERE id IN (SELECT doc_id FROM documents)) h ON h.query_id = d.vec_id AND h.rank <= 3
-    JOIN documents t ON t.doc_id = h.id GROUP BY d.vec_id, d.text, d.label, d.explanation)""",
+    SELECT d.text, d.label, d.explanation, coalesce(string_agg(t.text[1:200], ' | ' ORDER BY h.rank), '') AS hits FROM (
+      SELECT doc_id, vec_id, text, confidence, label, {explanation_sql()} AS explanation FROM (
+        SELECT doc_id, vec_id, text, confidence, {_NAMED_SQL.replace('label', 'pred')} AS label FROM ({_DESCRIBED_SQL}))) d
+    LEFT JOIN (SELECT * FROM ({_FOUND_SQL}) WHERE rank <= 3) h ON h.query_id = d.vec_id
+    LEFT JOIN documents t ON t.doc_id = h.id GROUP BY d.doc_id, d.text, d.label, d.explanation)""",
 )
 def generator_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_class = classify.centroid_scorer(table(spark, sf_dir, "embeddings"))
     named = classify.LinearScorer([_NAMES[c] for c in by_class.labels], by_class.weights)
     described = _described(spark, sf_dir)
-    found = stage(search.exact_topk(described, described, 3), "hits")
-    examples = hits.top_hits_array(hits.hits_to_passages(found, described, "vec_id")).withColumnRenamed("query_id", "vec_id")
+    passages = _described_passages(spark, sf_dir)
+    found = stage(search.exact_topk(described, passages, 3, "doc_id"), "hits")
+    examples = hits.top_hits_array(hits.hits_to_passages(found, passages, "vec_id")).withColumnRenamed("query_id", "doc_id")
     scored = scoring.predict(described, named).withColumnRenamed("pred", "predicted_fallacy")
     explained = scored.withColumn(
         "explanation", template_explanation(F.col("text"), F.col("predicted_fallacy"), F.col("confidence"))
-    ).join(examples, "vec_id", "left")
+    ).join(examples, "doc_id", "left")
     pairs = corpus_plan.generator_pairs(explained)
     return pairs.select(F.md5("input").alias("input_md5"), F.md5("target").alias("target_md5"))

@@ -206,20 +206,27 @@ def stratified_sql(rows: str, key: str = "doc_id", label: str = "label") -> str:
       count(*) OVER (PARTITION BY {label}) AS n FROM ({rows})))"""
 
 
-@query("stratified_split", f"SELECT doc_id, label, split FROM ({stratified_sql(RATED_SQL)})")
+_RAW_SQL = f"SELECT doc_id, raw_label AS label FROM ({NAMED_SQL})"
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents under their raw names; null is one of the classes."""
+    return named_documents(spark, sf_dir).select("doc_id", F.col("raw_label").alias("label"))
+
+
+@query("stratified_split", f"SELECT doc_id, label, split FROM ({stratified_sql(_RAW_SQL)})")
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rated = rated_documents(spark, sf_dir).select("doc_id", "label")
-    return ranking.stratified_split(rated, "label", "doc_id").select("doc_id", "label", "split")
+    return ranking.stratified_split(_raw(spark, sf_dir), "label", "doc_id").select("doc_id", "label", "split")
 
 
 @query(
     "rank_in_class",
-    "SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), doc_id) AS rank_in_class, "
-    "count(*) OVER (PARTITION BY lang) AS class_size FROM documents",
+    "SELECT doc_id, label, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || doc_id), doc_id) AS rank_in_class, "
+    f"count(*) OVER (PARTITION BY label) AS class_size FROM ({_RAW_SQL})",
 )
 def rank_in_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    return ranking.rank_in_class(documents, "lang", "doc_id").select("doc_id", "lang", "rank_in_class", "class_size")
+    ranked = ranking.rank_in_class(_raw(spark, sf_dir), "label", "doc_id")
+    return ranked.select("doc_id", "label", "rank_in_class", "class_size")
 
 
 _OVERLAP_SQL = f"""SELECT
@@ -336,7 +343,7 @@ def mask_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "class_weights",
     f"""SELECT label, count(*) AS n, round(sum(count(*)) OVER () / (count(*) OVER () * count(*))::DOUBLE, 6) AS weight
-    FROM ({RATED_SQL}) GROUP BY label""",
+    FROM ({_RAW_SQL}) WHERE label IS NOT NULL GROUP BY label""",
 )
 def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labels.class_weights(rated_documents(spark, sf_dir)).withColumn("weight", six("weight"))
+    return labels.class_weights(_raw(spark, sf_dir)).withColumn("weight", six("weight"))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,3 +49,15 @@ def softmax(logits: Column) -> Column:
 def argmax(values: Column) -> Column:
     """Zero-based position of the first largest value."""
     return (F.array_position(values, F.array_max(values)) - 1).cast("int")
+
+
+def matrix_of(vectors: pa.Array | pa.ChunkedArray, width: int | None = None) -> np.ndarray:
+    """Vectors without nulls among them as the rows of a matrix; all have ``width`` components, or it is an error."""
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    if not len(vectors):
+        return np.empty((0, width or 0))
+    lengths = pc.unique(pc.list_value_length(vectors)).to_pylist()
+    if lengths != [lengths[0] if width is None else width]:
+        raise ValueError(f"vectors of {lengths} dimensions" + ("" if width is None else f" against {width}"))
+    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(vectors), -1)

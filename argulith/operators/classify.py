@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from argulith.functions.text import word_tokens
-from argulith.functions.vectors import as_double
+from argulith.functions.vectors import as_double, matrix_of
 from argulith.operators.bounded import broadcast_bounded, fetch_bounded
 from argulith.operators.labels import class_weights, encode_label, label_index
 
@@ -34,14 +34,22 @@ OUTCOME = T.StructType(
 )
 
 
-def _products(vectors: pa.Array, weights: np.ndarray) -> np.ndarray:
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    return flat.reshape(len(vectors), weights.shape[1]) @ weights.T
+def _products(vectors: pa.Array, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of the vectors that are there, and which rows have none."""
+    missing = vectors.is_null().to_numpy(zero_copy_only=False)
+    return matrix_of(vectors.drop_null(), weights.shape[1]) @ weights.T, missing
 
 
-def _as_lists(rows: np.ndarray) -> pa.ListArray:
-    offsets = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))
+def _as_lists(rows: np.ndarray, missing: np.ndarray) -> pa.ListArray:
+    lengths = np.where(missing, 0, rows.shape[1])
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()), mask=pa.array(missing))
+
+
+def _as_column(values: np.ndarray, missing: np.ndarray) -> pa.Array:
+    whole = np.zeros(len(missing), dtype=values.dtype)
+    whole[~missing] = values
+    return pa.array(whole, mask=missing)
 
 
 @dataclass
@@ -57,7 +65,7 @@ class LinearScorer:
 
         @F.arrow_udf(T.ArrayType(T.DoubleType()))
         def product(vectors: pa.Array) -> pa.Array:
-            return _as_lists(_products(vectors, weights))
+            return _as_lists(*_products(vectors, weights))
 
         return product(vector)
 
@@ -67,13 +75,17 @@ class LinearScorer:
 
         @F.arrow_udf(OUTCOME)
         def outcomes(vectors: pa.Array) -> pa.Array:
-            scores = _products(vectors, weights)
+            scores, missing = _products(vectors, weights)
             position = scores.argmax(axis=1)
             powers = np.exp(scores - scores.max(axis=1, keepdims=True))
             probabilities = powers / powers.sum(axis=1, keepdims=True)
             confidence = probabilities[np.arange(len(position)), position]
             return pa.StructArray.from_arrays(
-                [_as_lists(probabilities), pa.array(position.astype(np.int32)), pa.array(confidence)],
+                [
+                    _as_lists(probabilities, missing),
+                    _as_column(position.astype(np.int32), missing),
+                    _as_column(confidence, missing),
+                ],
                 names=["probabilities", "position", "confidence"],
             )
 
@@ -102,7 +114,7 @@ def centroid_scorer(
 
 
 def score(df: DataFrame, scorer: LinearScorer, vector_col: str = "embedding") -> DataFrame:
-    """Add ``probabilities``, ``pred`` and ``confidence``."""
+    """Add ``probabilities``, ``pred`` and ``confidence``, null for rows without a vector."""
     return (
         df.withColumn("_outcome", scorer.outcome(F.col(vector_col)))
         .withColumn("probabilities", F.col("_outcome.probabilities"))
@@ -180,7 +192,7 @@ class TextClassifier:
     labels: list
 
     def transform(self, df: DataFrame, text_col: str = "text") -> DataFrame:
-        """Add ``probabilities``, ``pred`` and ``confidence``."""
+        """Add ``probabilities``, ``pred`` and ``confidence``, null for rows without a vector."""
         names = F.array(*[F.lit(label) for label in self.labels])
         scored = self.model.transform(with_tokens(df, text_col))
         return (

@@ -82,8 +82,11 @@ def distinct_labels(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 
 def class_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
-    """Balanced weights: rows / (classes * rows of the class). Windows run over one row per class."""
+    """Balanced weights: rows / (classes * rows of the class). Windows run over one row per class.
+
+    Rows without a class are no class of their own: they count nowhere.
+    """
     everything = Window.partitionBy()
-    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.filter(F.col(label_col).isNotNull()).groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
     weight: Column = F.sum("n").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("n"))
     return counts.select(label_col, "n", weight.alias("weight"))

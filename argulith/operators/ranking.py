@@ -23,6 +23,13 @@ def order_hash(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
+def _same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join by ``keys`` in which null equals null; the columns of ``left``, then the rest of ``right``."""
+    renamed = right.select(*[F.col(c).alias(f"_same_{c}") if c in keys else F.col(c) for c in right.columns])
+    equal = [F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys]
+    return left.join(broadcast_bounded(renamed, MAX_OFFSET_ROWS), equal, how).drop(*[f"_same_{k}" for k in keys])
+
+
 def _with_bucket(df: DataFrame, id_col: str, seed: int, digits: int) -> DataFrame:
     return df.withColumn("_hash", order_hash(id_col, seed)).withColumn(
         "_bucket", F.substring("_hash", 1, digits)
@@ -45,7 +52,7 @@ def _positions(df: DataFrame, group: list[str], order: list[str], out: str) -> D
     )
     inside = Window.partitionBy(*group, "_bucket").orderBy(*order)
     return (
-        df.join(broadcast_bounded(offsets, MAX_OFFSET_ROWS), [*group, "_bucket"])
+        _same(df, offsets, [*group, "_bucket"])
         .withColumn(out, F.col("_offset") + F.row_number().over(inside) - 1)
         .drop("_bucket", "_offset")
     )
@@ -71,7 +78,7 @@ def row_index(df: DataFrame, key: str, out: str = "row_idx", buckets: int | None
 
 
 def number_rows(df: DataFrame, out: str = "doc_id") -> DataFrame:
-    """Keys for a source that has none: unique and in the order of its files, with gaps.
+    """Keys for a source that has none: unique, in the order in which its parts are read, with gaps.
 
     Staged, so that every later read sees the same keys; ``row_index`` makes them consecutive.
     """
@@ -164,8 +171,7 @@ def stratified_split(
     )
     inside = Window.partitionBy(label_col, "_bucket", "_part").orderBy("_hash", id_col)
     cut_rows = (
-        keyed.select(label_col, "_bucket", "_hash", id_col)
-        .join(broadcast_bounded(cut_buckets), [label_col, "_bucket"])
+        _same(keyed.select(label_col, "_bucket", "_hash", id_col), cut_buckets, [label_col, "_bucket"])
         .withColumn("_position", F.row_number().over(inside))
         .filter(F.col("_position") == F.col("_rank"))
         .withColumn("_at", F.struct("_hash", id_col))
@@ -176,8 +182,7 @@ def stratified_split(
     )
     at = F.struct("_hash", id_col)
     return (
-        keyed.drop("_bucket")
-        .join(broadcast_bounded(cuts), label_col, "left")
+        _same(keyed.drop("_bucket"), cuts, [label_col], "left")
         .withColumn(
             "split",
             F.when(at <= F.col("_last_test"), "test").when(at <= F.col("_last_val"), "val").otherwise("train"),

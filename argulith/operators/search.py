@@ -17,14 +17,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from argulith.functions.vectors import as_double
+from argulith.functions.vectors import as_double, matrix_of
 from argulith.session import scratch_path, stage
 
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
 SCORE_PLACES = 12  # scores that agree so far are ties, whatever order a product was summed in
 _ROUNDING = 10.0**-SCORE_PLACES
 _PRODUCT_ROWS = 2_048  # queries times passages held as one dense product
-_FIRST_FETCH_ROWS = 4_096
 
 
 def topk_per_query(hits: DataFrame, k: int, query_col: str = "query_id", id_col: str = "id", score_col: str = "score") -> DataFrame:
@@ -33,13 +32,6 @@ def topk_per_query(hits: DataFrame, k: int, query_col: str = "query_id", id_col:
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
-
-
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Row-wise k best of a score matrix, by score descending, then id."""
     if scores.shape[1] > k:
@@ -149,29 +141,31 @@ class _Totals:
         )
 
 
-def _product(corpus: DataFrame, queries: pa.Table, state, schema: str, by_cell: bool) -> DataFrame:
-    """Run one query block against every passage, task by task; ``state`` says what to keep."""
-    vectors = _matrix(queries["vector"]).astype(np.float64)
+def _product(corpus: DataFrame, queries: pa.Table, state, schema: str, by_cell: bool, shared: list) -> DataFrame:
+    """Run one query block against every passage, task by task; ``state`` says what to keep.
+
+    The block's broadcast is added to ``shared``, for the caller to destroy when its rows are written.
+    """
+    vectors = matrix_of(queries["vector"])
     wanted: dict[int, list[int]] = {}
     if by_cell:
         for row, cells in enumerate(queries["cells"].to_pylist()):
             for cell in cells:
                 wanted.setdefault(cell, []).append(row)
-    shared = corpus.sparkSession.sparkContext.broadcast(
+    block = corpus.sparkSession.sparkContext.broadcast(
         (queries["query_id"].to_numpy(), vectors, {cell: np.array(rows) for cell, rows in wanted.items()})
     )
+    shared.append(block)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix, by = shared.value
+        ids, matrix, by = block.value
         kept = state(ids, matrix)
         everyone = np.arange(len(ids))
         for batch in batches:
             if not batch.num_rows:
                 continue
             passages = batch.column("id").to_numpy(zero_copy_only=False)
-            points = _matrix(batch.column("vector")).astype(np.float64, copy=False)
-            if points.shape[1] != matrix.shape[1]:
-                raise ValueError(f"passages have {points.shape[1]} dimensions, queries {matrix.shape[1]}")
+            points = matrix_of(batch.column("vector"), matrix.shape[1])
             if not by_cell:
                 kept.add(passages, points, everyone)
                 continue
@@ -190,6 +184,9 @@ def _product(corpus: DataFrame, queries: pa.Table, state, schema: str, by_cell:
 
 def _blocks(queries: DataFrame, rows: int, most: int, order: list[Column]) -> tuple[DataFrame, int]:
     """Staged queries with a ``block`` column, in ranges of ``order``, at most ``most`` rows each."""
+    same = queries.groupBy("query_id").count().agg(F.max("count")).first()[0]
+    if same > most:
+        raise ValueError(f"a query key stands in {same} rows, a block holds {most}")
     parts = -(-rows // most)
     while True:
         ranged = queries.repartitionByRange(parts, *order).withColumn("block", F.spark_partition_id())
@@ -197,35 +194,35 @@ def _blocks(queries: DataFrame, rows: int, most: int, order: list[Column]) -> tu
         largest = blocked.groupBy("block").count().agg(F.max("count")).first()[0]
         if largest <= most:
             return blocked, parts
-        parts *= 2  # keys are unique, so the ranges keep shrinking
+        parts *= 2  # a key fits a block, so the ranges shrink until every block does
 
 
 def _in_blocks(
     queries: DataFrame,
     corpus: DataFrame,
-    run: Callable[[DataFrame, pa.Table], DataFrame],
+    run: Callable[[DataFrame, pa.Table, list], DataFrame],
     schema: str,
     block_bytes: int,
+    kept: int,
     by_cell: bool = False,
 ) -> DataFrame:
     """``run`` for all queries against the corpus, in blocks of queries that each fit the bound.
 
-    The usual query set is one block, and the result a lazy plan. More blocks are run one after
-    the other, each appending to a table in the shared folder, so that never more than one block
-    is held anywhere. Queries that start from the same cell share a block, which therefore reads
-    few cells; without cells the corpus is staged, so that no block computes it again.
+    The queries are staged and measured before any is fetched: a block is bounded by the bytes of its
+    vectors and of the ``kept`` numbers that a task holds per query. The usual query set is one
+    block, and the result a lazy plan. More blocks are run one after the other, each appending to a
+    table in the shared folder, so that never more than one block is held anywhere. Queries that
+    start from the same cell share a block, which therefore reads few cells; without cells the corpus
+    is staged, so that no block computes it again.
     """
     spark = corpus.sparkSession
-    first = queries.limit(_FIRST_FETCH_ROWS + 1).toArrow()
-    if not first.num_rows:
-        return spark.createDataFrame([], schema)
-    if first.num_rows <= _FIRST_FETCH_ROWS:
-        return run(corpus, first)
-    most = max(1, block_bytes // (8 * len(first["vector"][0])))
     queries = stage(queries, "queries")
-    rows = queries.count()
+    rows, width = queries.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    if not rows:
+        return spark.createDataFrame([], schema)
+    most = max(1, block_bytes // (8 * (width + kept)))
     if rows <= most:
-        return run(corpus, queries.toArrow())
+        return run(corpus, queries.toArrow(), [])
     near = [F.get("cells", 0)] if by_cell else []
     blocked, parts = _blocks(queries, rows, most, [*near, F.col("query_id")])
     if not by_cell:
@@ -234,7 +231,10 @@ def _in_blocks(
     for n in range(parts):
         block = blocked.filter(F.col("block") == n).drop("block").toArrow()
         if block.num_rows:
-            run(corpus, block).write.mode("append").parquet(path)
+            shared: list = []
+            run(corpus, block, shared).write.mode("append").parquet(path)
+            for sent in shared:
+                sent.destroy()
     return spark.read.schema(schema).parquet(path)
 
 
@@ -242,10 +242,10 @@ _HIT = "query_id long, id long, score double"
 
 
 def _search(queries: DataFrame, corpus: DataFrame, k: int, by_cell: bool, block_bytes: int) -> DataFrame:
-    def run(passages: DataFrame, block: pa.Table) -> DataFrame:
-        return topk_per_query(_product(passages, block, partial(_Block, k=k), _HIT, by_cell), k)
+    def run(passages: DataFrame, block: pa.Table, shared: list) -> DataFrame:
+        return topk_per_query(_product(passages, block, partial(_Block, k=k), _HIT, by_cell, shared), k)
 
-    return _in_blocks(queries, corpus, run, f"{_HIT}, rank int", block_bytes, by_cell)
+    return _in_blocks(queries, corpus, run, f"{_HIT}, rank int", block_bytes, 2 * k, by_cell)
 
 
 def _as_queries(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -273,9 +273,9 @@ def query_corpus_product(
     """
     partials = "query_id long, n long, total double, largest double, n_above long"
 
-    def run(passages: DataFrame, block: pa.Table) -> DataFrame:
+    def run(passages: DataFrame, block: pa.Table, shared: list) -> DataFrame:
         return (
-            _product(passages, block, partial(_Totals, above=above), partials, False)
+            _product(passages, block, partial(_Totals, above=above), partials, False, shared)
             .groupBy("query_id")
             .agg(
                 F.sum("n").alias("n"),
@@ -287,7 +287,7 @@ def query_corpus_product(
 
     schema = "query_id long, n long, mean_score double, max_score double, n_above long"
     return _in_blocks(
-        _as_queries(queries, query_id, vector), _as_passages(corpus, corpus_id, vector), run, schema, block_bytes
+        _as_queries(queries, query_id, vector), _as_passages(corpus, corpus_id, vector), run, schema, block_bytes, 4
     )
 
 
@@ -325,18 +325,18 @@ def train_cells(
 
 
 def nearest_cells(df: DataFrame, centres: list[list[float]], n: int, vector: str = "embedding", out: str = "cells") -> DataFrame:
-    """Add the ``n`` cells whose centres have the largest inner product with the vector."""
+    """Add the ``n`` cells whose centres have the largest inner product with the vector; null without one."""
     table = np.asarray(centres, dtype=np.float64)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def nearest(vectors: pa.Array) -> pa.Array:
-        if not len(vectors):
-            return pa.array([], pa.list_(pa.int32()))
-        scores = _matrix(vectors).astype(np.float64) @ table.T
+        missing = vectors.is_null().to_numpy(zero_copy_only=False)
+        scores = matrix_of(vectors.drop_null(), table.shape[1]) @ table.T
         best = scores.argmax(axis=1)[:, None] if n == 1 else np.argsort(-scores, axis=1, kind="stable")[:, :n]
-        cells = best.astype(np.int32)
-        offsets = np.arange(0, cells.size + 1, cells.shape[1], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells.ravel()))
+        lengths = np.where(missing, 0, best.shape[1])
+        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        cells = pa.array(best.astype(np.int32).ravel())
+        return pa.ListArray.from_arrays(pa.array(offsets), cells, mask=pa.array(missing))
 
     return df.withColumn(out, nearest(F.col(vector)))
 

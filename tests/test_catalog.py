@@ -20,8 +20,8 @@ def test_query_equals_its_sql(spark, sf_dir, connection, key):
     assert "types differ" not in note
 
 
-def test_only_fitted_models_go_without_sql():
-    assert set(QUERIES) - set(ORACLES) == {"ivf_topk", "train_classifier", "corpus_to_index"}
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
     assert set(oracle_sql()) <= set(queries())
     assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 

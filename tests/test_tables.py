@@ -165,3 +165,34 @@ def test_corpus_union_prefers_the_first_corpus(spark):
     two = spark.createDataFrame([(1, "same"), (6, "only two")], "doc_id long, text string")
     got = {tuple(r) for r in dedup.corpus_union({"a": one, "b": two}).select("corpus", "doc_id").collect()}
     assert got == {("a", 5), ("a", 6), ("b", 6)}
+
+
+def test_rows_without_a_class_are_a_class_of_their_own(spark):
+    rows = [(i, None if i % 2 else "a") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, label string")
+    ranked = ranking.rank_in_class(df, "label", "doc_id").collect()
+    assert len(ranked) == 400
+    for label in ("a", None):
+        assert sorted(r["rank_in_class"] for r in ranked if r["label"] == label) == list(range(1, 201))
+    split = ranking.stratified_split(df, "label", "doc_id").groupBy("label", "split").count().collect()
+    assert {(r["label"], r["split"]): r["count"] for r in split} == {
+        (label, part): n for label in ("a", None) for part, n in (("test", 20), ("val", 20), ("train", 160))
+    }
+
+
+def test_rows_without_a_class_have_no_weight(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "label string")
+    assert {r["label"]: r["weight"] for r in labels.class_weights(df).collect()} == {"a": 0.75, "b": 1.5}
+
+
+def test_passage_keys_are_unique_or_an_error(spark):
+    from argulith.plans.corpus import conversation_arguments
+
+    def keys(conversation):
+        turns = [(conversation, 0, "user", "why"), (conversation, 1, "assistant", "because")]
+        return [r["id"] for r in conversation_arguments(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()]
+
+    assert keys(7) == [(7 << 32) + 1] and keys((1 << 31) - 1) == [((1 << 63) - (1 << 32)) + 1]
+    for wrong in (1 << 31, (1 << 32) + 7, -1):
+        with pytest.raises(Exception, match="no passage key"):
+            keys(wrong)

@@ -40,10 +40,9 @@ def test_exact_topk_is_brute_force(spark, hot):
     assert found(search.exact_topk(df, df.repartition(5), 7)) == brute(points, points, 7)
 
 
-def test_many_query_blocks_give_the_same_hits(spark, monkeypatch):
+def test_many_query_blocks_give_the_same_hits(spark):
     points, df = vectors(spark, 300)
-    monkeypatch.setattr(search, "_FIRST_FETCH_ROWS", 20)
-    blocks = search.exact_topk(df, df.repartition(3), 4, block_bytes=8 * 8 * 60)
+    blocks = search.exact_topk(df, df.repartition(3), 4, block_bytes=8 * 16 * 60)
     assert found(blocks) == brute(points, points, 4)
     sums = search.query_corpus_product(df, df, above=0.5, block_bytes=8 * 8 * 60)
     product = points @ points.T
@@ -53,15 +52,14 @@ def test_many_query_blocks_give_the_same_hits(spark, monkeypatch):
         assert (row["mean_score"], row["max_score"]) == pytest.approx((mine.mean(), mine.max()))
 
 
-def test_cells_in_many_blocks_read_only_near_cells(spark, monkeypatch, tmp_path):
+def test_cells_in_many_blocks_read_only_near_cells(spark, tmp_path):
     points, df = vectors(spark, 400, hot=True)
     centres = search.train_cells(df, 12)
     search.assign_cells(df, centres).write.partitionBy("cell").parquet(str(tmp_path / "cells"))
     cells = spark.read.parquet(str(tmp_path / "cells"))
     whole = search.ivf_topk(df, cells, centres, 4, nprobe=2)
     assert "PartitionFilters: [cell" in plan_of(whole)
-    monkeypatch.setattr(search, "_FIRST_FETCH_ROWS", 20)
-    blocks = search.ivf_topk(df, cells, centres, 4, nprobe=2, block_bytes=8 * 8 * 50)
+    blocks = search.ivf_topk(df, cells, centres, 4, nprobe=2, block_bytes=8 * 16 * 50)
     assert found(blocks) == found(whole)
 
 
@@ -79,6 +77,62 @@ def test_dimensions_must_agree(spark):
         search.exact_topk(df, other, 5).count()
 
 
+RAGGED = [(1, [1.0]), (2, [2.0, 3.0, 4.0])]
+
+
+def test_vectors_of_different_lengths_are_an_error_everywhere(spark):
+    ragged = spark.createDataFrame(RAGGED, "vec_id long, embedding array<double>")
+    even = spark.createDataFrame([(1, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    scorer = classify.LinearScorer(["a", "b"], np.eye(2))
+    for made in (
+        lambda: search.exact_topk(even, ragged, 2),
+        lambda: search.exact_topk(ragged, even, 2),
+        lambda: search.assign_cells(ragged, [[1.0, 0.0]]),
+        lambda: classify.score(ragged, scorer),
+    ):
+        with pytest.raises(Exception, match="dimensions"):
+            made().collect()
+
+
+def test_rows_without_a_vector_stay_without_a_result(spark):
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [0.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    scored = classify.score(df, classify.LinearScorer(["a", "b"], np.eye(2))).orderBy("vec_id").collect()
+    assert [r["pred"] for r in scored] == ["a", None, "b"]
+    assert scored[1]["confidence"] is None and scored[1]["probabilities"] is None
+    cells = search.assign_cells(df, [[1.0, 0.0], [0.0, 1.0]]).orderBy("vec_id").collect()
+    assert [r["cell"] for r in cells] == [0, None, 1]
+    assert found(search.exact_topk(df, df, 1)) == {(1, 1, 1), (3, 3, 1)}
+
+
+def test_a_query_key_too_frequent_for_a_block_is_an_error(spark):
+    _, df = vectors(spark, 30)
+    same = df.withColumn("vec_id", F.lit(5).cast("long"))
+    with pytest.raises(ValueError, match="query key"):
+        search.exact_topk(same, df, 2, block_bytes=8 * 12 * 10)
+    some = df.withColumn("vec_id", F.col("vec_id") % 6)
+    assert search.exact_topk(some, df, 1, block_bytes=8 * 12 * 10).count() == 6
+
+
+def test_blocks_leave_no_broadcast_behind(spark, monkeypatch):
+    _, df = vectors(spark, 60)
+    sent = []
+    broadcast = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(broadcast(self, value)) or sent[-1])
+    search.exact_topk(df, df, 2, block_bytes=8 * 12 * 10).collect()
+    assert len(sent) >= 6 and all(b._jbroadcast is None or not b._jbroadcast.isValid() for b in sent)
+
+
+def test_no_train_rows_means_no_likeness(spark):
+    rows = spark.createDataFrame([(1, "red fish"), (2, "blue fish"), (3, "red fish")], "doc_id long, text string")
+    model = tfidf.fit_tfidf(rows)
+    none = rows.limit(0)
+    assert {(r["doc_id"], r["max_similarity"]) for r in tfidf.max_similarity(rows, none, model).collect()} == {(1, 0.0), (2, 0.0), (3, 0.0)}
+    assert [r["n"] for r in tfidf.split_product(rows, none, model).collect()] == [0, 0, 0]
+    counted = tfidf.near_duplicate_count(tfidf.distinct_similarity(rows, none, model)).first()
+    assert (counted["near_duplicates"], counted["compared"]) == (0, 3)
+
+
 def test_search_neither_shuffles_passages_nor_pairs_rows(spark):
     _, df = vectors(spark, 50)
     plan = plan_of(search.exact_topk(df, df, 5))
