@@ -170,7 +170,8 @@ def report_sql(rows: str) -> str:
       count(*) FILTER (split = 'test' AND regexp_matches(text, '\\[MSK\\d+\\]')) AS test_masked,
       count(DISTINCT label) FILTER (split = 'test') AS test_labels FROM s),
     overlap AS ({_OVERLAP_SQL})
-    SELECT *, test_rows AS compared, train_val_overlap > 0 OR train_test_overlap > 0 AS exact_leak, near_duplicates > 20 AS near_leak
+    SELECT *, round(train_masked / greatest(train_rows, 1)::DOUBLE, 6) AS train_masked_share,
+    round(test_masked / greatest(test_rows, 1)::DOUBLE, 6) AS test_masked_share, test_rows AS compared, train_val_overlap > 0 OR train_test_overlap > 0 AS exact_leak, near_duplicates > 20 AS near_leak
     FROM figures, overlap, near"""
 
 
@@ -178,6 +179,8 @@ def _report(df: DataFrame) -> DataFrame:
     report = leakage.leakage_report(df)
     for part in leakage.SPLITS:
         report = report.withColumn(f"{part}_mean_length", six(f"{part}_mean_length"))
+    for part in ("train", "test"):
+        report = report.withColumn(f"{part}_masked_share", six(f"{part}_masked_share"))
     whole = [c for c in report.columns if c.endswith(("_min_length", "_max_length")) or c == "test_labels"]
     return report.select(*[F.col(c).cast("long").alias(c) if c in whole else F.col(c) for c in report.columns])
 
@@ -237,6 +240,29 @@ def concept_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enriched.select("doc_id", F.array_join("facts", ";").alias("facts"))
 
 
+@query(
+    "choose_classifier",
+    f"""WITH s AS ({stratified_sql(RATED_SQL)})
+    SELECT count(*) FILTER (split = 'test') AS n_test, 3::BIGINT AS n_candidates, true AS best_is_chosen,
+    true AS right_on_test FROM s""",
+)
+def choose_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the split to the test report. SQL knows the rows; that the report says what the chosen one predicts must hold."""
+    dataset = ranking.stratified_split(rated_documents(spark, sf_dir), "label", "doc_id")
+    chosen, candidates, report = classify.choose_classifier(dataset, dimensions=256)
+    right = scoring.predict(dataset.filter(F.col("split") == "test"), chosen).agg(
+        F.count(F.lit(1)).alias("n_test"), F.avg((F.col("label") == F.col("pred")).cast("double")).alias("share")
+    )
+    best = candidates.agg(F.count(F.lit(1)).alias("n_candidates"), F.max("macro_f1").alias("most"), F.max_by("macro_f1", F.struct("macro_f1", -F.col("position"))).alias("first"))
+    tagged = [df.withColumn("_one", F.lit(1)) for df in (right, best, report.select("accuracy"))]  # a row each
+    return tagged[0].join(tagged[1], "_one").join(tagged[2], "_one").select(
+        "n_test",
+        "n_candidates",
+        (F.col("most") == F.col("first")).alias("best_is_chosen"),
+        (F.abs(F.col("share") - F.col("accuracy")) < 1e-9).alias("right_on_test"),
+    )
+
+
 @query(
     "generator_pairs",
     f"""SELECT md5('text: ' || text || ' label: ' || label || ' passages: ' || hits) AS input_md5, md5(explanation) AS target_md5 FROM (

@@ -54,7 +54,8 @@ def collapse_ws(text: Column) -> Column:
 @F.pandas_udf(T.StringType())
 def _nfkc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
-        yield texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+        # ASCII is its own normal form.
+        yield texts.map(lambda t: t if t.isascii() else unicodedata.normalize("NFKC", t), na_action="ignore")
 
 
 def nfkc(text: Column) -> Column:

@@ -21,6 +21,8 @@ from argulith.functions.text import word_tokens
 from argulith.functions.vectors import as_double, matrix_of
 from argulith.operators.bounded import broadcast_bounded, fetch_bounded
 from argulith.operators.labels import class_weights, encode_label, label_index
+from argulith.operators.metrics import confusion_matrix, metrics_record
+from argulith.session import stage
 
 MAX_CLASSES = 10_000
 
@@ -211,23 +213,67 @@ def train_classifier(
     reg: float = 0.01,
     max_iter: int = 20,
 ) -> TextClassifier:
-    """Multinomial logistic regression on hashed terms, classes weighted by their inverse size."""
+    """Multinomial logistic regression on hashed terms, classes weighted by their inverse size.
+
+    Texts are read and hashed once: the term counts are staged, and all passes go over them.
+    """
     index = label_index(train, label_col)
     weighted = encode_label(train, index, label_col).join(
         broadcast_bounded(class_weights(train, label_col).select(label_col, "weight")), label_col
     )
-    stages = text_encoder(dimensions).getStages() + [
-        LogisticRegression(
-            featuresCol="vector",
-            labelCol="label_id",
-            weightCol="weight",
-            family="multinomial",
-            regParam=reg,
-            maxIter=max_iter,
-        )
-    ]
-    model = Pipeline(stages=stages).fit(with_tokens(weighted, text_col).select("tokens", "label_id", "weight"))
-    return TextClassifier(model, labels_in_order(index, label_col))
+    hashing, *weighing = text_encoder(dimensions).getStages()
+    counted = stage(hashing.transform(with_tokens(weighted, text_col)).select("_tf", "label_id", "weight"), "counts")
+    fitted = Pipeline(stages=[*weighing, _regression(reg, max_iter)]).fit(counted)
+    return TextClassifier(PipelineModel([hashing, *fitted.stages]), labels_in_order(index, label_col))
+
+
+def _regression(reg: float, max_iter: int) -> LogisticRegression:
+    return LogisticRegression(
+        featuresCol="vector",
+        labelCol="label_id",
+        weightCol="weight",
+        family="multinomial",
+        regParam=reg,
+        maxIter=max_iter,
+    )
+
+
+def choose_classifier(
+    dataset: DataFrame,
+    regs: tuple[float, ...] = (0.001, 0.01, 0.1),
+    text_col: str = "text",
+    label_col: str = "label",
+    dimensions: int = 512,
+    max_iter: int = 20,
+) -> tuple[TextClassifier, DataFrame, DataFrame]:
+    """Fit on ``split`` train, choose by macro F1 on val, measure on test.
+
+    Returns the chosen classifier, a row per candidate (``position``, ``reg``, ``macro_f1`` on val)
+    and one row of its metrics on test. The vectors of all splits are staged once; candidates and
+    measurements read them and never the texts.
+    """
+    train = dataset.filter(F.col("split") == "train")
+    index, weights = label_index(train, label_col), class_weights(train, label_col).select(label_col, "weight")
+    hashing, *weighing = text_encoder(dimensions).getStages()
+    known = encode_label(dataset, index, label_col).join(broadcast_bounded(weights), label_col)
+    counted = stage(hashing.transform(with_tokens(known, text_col)).select("_tf", label_col, "label_id", "weight", "split"), "counts")
+    encoder = Pipeline(stages=weighing).fit(counted.filter(F.col("split") == "train"))
+    encoded = stage(encoder.transform(counted).select("vector", label_col, "label_id", "weight", "split"), "vectors")
+    labels = labels_in_order(index, label_col)
+    names = F.array(*[F.lit(label) for label in labels])
+
+    def measured(model, part: str) -> DataFrame:
+        scored = model.transform(encoded.filter(F.col("split") == part))
+        scored = scored.withColumn("pred", F.get(names, F.col("prediction").cast("int")))
+        return metrics_record(confusion_matrix(scored, label_col, "pred"))
+
+    models = [_regression(reg, max_iter).fit(encoded.filter(F.col("split") == "train")) for reg in regs]
+    scores = [measured(model, "val").first()["macro_f1"] for model in models]
+    rows = [(n, reg, score) for n, (reg, score) in enumerate(zip(regs, scores))]
+    candidates = dataset.sparkSession.createDataFrame(rows, "position int, reg double, macro_f1 double")
+    best = max(range(len(regs)), key=lambda n: (scores[n] or 0.0, -n))
+    chosen = TextClassifier(PipelineModel([hashing, *encoder.stages, models[best]]), labels)
+    return chosen, candidates, measured(models[best], "test")
 
 
 def labels_in_order(index: DataFrame, label_col: str = "label") -> list:

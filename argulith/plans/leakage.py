@@ -82,6 +82,10 @@ def leakage_report(
     stacked = parts[0]
     for part in parts[1:]:
         stacked = stacked.unionByName(part, allowMissingColumns=True)
+    for part in ("train", "test"):
+        names.append(f"{part}_masked_share")
+        share = F.col(f"{part}_masked") / F.greatest(F.col(f"{part}_rows"), F.lit(1))
+        stacked = stacked.withColumn(names[-1], F.when(F.col(f"{part}_rows").isNotNull(), share))
     overlap = (F.col("train_val_overlap") > 0) | (F.col("train_test_overlap") > 0)
     return (
         stacked.agg(*[F.max(c).alias(c) for c in names])

@@ -16,14 +16,15 @@ from argulith.sources.stores import save_label_map
 from argulith.sources.writers import sink_csv
 
 
-def load_sources(spark: SparkSession, sources: list[tuple[str, str, str]]) -> DataFrame:
+def load_sources(spark: SparkSession, sources: list[tuple[str, str, str]], multi_line: bool = True) -> DataFrame:
     """CSV sources ``(path, text column, label column)`` as one table ``(doc_id, text, raw_label)``.
 
     Paths that do not exist are skipped; it is an error if none does. Rows are numbered in the
-    order of the sources, so of copies the one of the first source is kept later on.
+    order of the sources, so of copies the one of the first source is kept later on. With
+    ``multi_line=False`` (no cell has a line break) large files are read by many tasks.
     """
     found = resolve_sources(spark, {path: path for path, _, _ in sources})
-    scans = [scan_csv(spark, path, text, label) for path, text, label in sources if path in found]
+    scans = [scan_csv(spark, path, text, label, multi_line) for path, text, label in sources if path in found]
     return number_rows(union_sources(*scans))
 
 

@@ -11,6 +11,7 @@ from argulith.operators.classify import LinearScorer, TextClassifier, score
 from argulith.operators.hits import hits_to_passages, top_hits_array
 from argulith.operators.metrics import confusion_matrix, metrics_record
 from argulith.operators.search import exact_topk
+from argulith.plans.corpus import PassageIndex, search_index
 from argulith.session import stage
 
 
@@ -48,6 +49,24 @@ def predict_with_retrieval(
     )
 
 
+def predict_with_index(
+    df: DataFrame, classifier: TextClassifier, index: PassageIndex, k: int = 3, nprobe: int | None = None,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """Predictions of a text classifier with the k passages of a stored index that resemble the text.
+
+    Texts go through the index's own encoder; only ``nprobe`` cells are read per text, all without it.
+    """
+    hits = search_index(index, df, k, nprobe, id_col, text_col)
+    examples = top_hits_array(hits).withColumnRenamed("query_id", id_col)
+    none = F.array().cast("array<struct<text: string, score: double>>")
+    return (
+        predict_batch(df, classifier, id_col, text_col)
+        .join(examples, id_col, "left")
+        .withColumn("similar_examples", F.coalesce("similar_examples", none))
+    )
+
+
 def predict_and_explain(
     df: DataFrame, scorer: LinearScorer | TextClassifier, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

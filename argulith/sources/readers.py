@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from argulith.operators.labels import project_text_label
+from argulith.operators.ranking import number_rows
 
 PASSAGE_SCHEMA = "id long, text string, text_normalized string, question string, type string"
 
@@ -41,6 +42,15 @@ def scan_keyed_csv(spark: SparkSession, path: str, id_col: str, text_col: str, l
     return project_text_label(keyed, text_col, label_col)
 
 
+def scan_arguments(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Arguments for ``build_corpus``: ``(id, argument, question, type)`` from a CSV file with the last three.
+
+    The file has no keys, so rows are numbered; the numbers are staged and have gaps.
+    """
+    cells = read_csv(spark, path, multi_line).select("argument", "question", "type")
+    return number_rows(cells, "id").select("id", "argument", "question", "type")
+
+
 def scan_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     cells = read_csv(spark, path)
     return cells.select(

@@ -245,3 +245,19 @@ def test_leakage_report(spark):
     assert (got["near_duplicates"], got["compared"], got["exact_leak"], got["near_leak"]) == (1, 2, True, True)
     sampled = leakage.leakage_report(df, sample_train=3, sample_test=1).first()
     assert (sampled["compared"], sampled["test_rows"]) == (1, 2)
+
+
+def test_sources_with_and_without_line_breaks(spark, tmp_path):
+    from argulith.plans.prepare import load_sources
+    from argulith.sources.readers import scan_arguments
+
+    path = str(tmp_path / "flat.csv")
+    spark.createDataFrame([("a, \"b\"", "x"), ("c", "y")], "t string, l string").coalesce(1).write.csv(path, header=True, escape='"')
+    for multi_line in (True, False):
+        rows = load_sources(spark, [(path, "t", "l"), (str(tmp_path / "absent.csv"), "t", "l")], multi_line).collect()
+        assert sorted((r["text"], r["raw_label"]) for r in rows) == [('a, "b"', "x"), ("c", "y")]
+    path = str(tmp_path / "arguments.csv")
+    cells = [("Because it rains", "why?", "pro"), ("It is dry", None, None)]
+    spark.createDataFrame(cells, "argument string, question string, type string").write.csv(path, header=True, escape='"')
+    found = scan_arguments(spark, path).collect()
+    assert sorted(tuple(r)[1:] for r in found) == sorted(cells) and len({r["id"] for r in found}) == 2

@@ -302,3 +302,30 @@ def test_enrichment_keeps_rows_without_facts(spark):
     edges = spark.createDataFrame([("senator", "IsA", "politician"), ("senator", "IsA", "politician"), ("senator", "AtLocation", "senate")], "concept string, relation string, target string")
     got = {r["i"]: r["facts"] for r in hits.concept_enrichment(df, edges, "i", "names").collect()}
     assert got == {0: ["senator AtLocation senate", "senator IsA politician"], 1: []}
+
+
+def test_predictions_with_a_stored_index(spark, tmp_path):
+    from argulith.plans import corpus, scoring
+
+    words = ["river boat water", "engine road wheel", "river fish water", "road car wheel", "sky bird wing"]
+    passages = spark.createDataFrame([(i, w, w) for i, w in enumerate(words)], "id long, text string, text_normalized string")
+    index = corpus.corpus_to_index(passages, str(tmp_path / "index"), n_cells=2, dimensions=64)
+    rows = [(i, words[i % 4] + " today", "wet" if i % 2 == 0 else "dry") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    fitted = classify.train_classifier(df, dimensions=64)
+    for nprobe in (None, 1):
+        got = scoring.predict_with_index(df, fitted, index, 2, nprobe).collect()
+        assert len(got) == 40
+        assert all((r["fallacy"] == "wet") == (r["doc_id"] % 2 == 0) for r in got)
+        assert all(r["similar_examples"][0]["text"] == words[r["doc_id"] % 4] for r in got)
+        assert all(len(r["similar_examples"]) <= 2 for r in got)
+
+
+def test_the_chosen_classifier_is_the_best_on_validation(spark):
+    rows = [(i, f"{'sun' if i % 3 else 'rain'} word{i % 7}", "a" if i % 3 else "b", ("train", "train", "val", "test")[i % 4]) for i in range(160)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string, split string")
+    chosen, candidates, report = classify.choose_classifier(df, (0.01, 100.0), dimensions=64)
+    scores = {r["position"]: r["macro_f1"] for r in candidates.collect()}
+    assert scores[0] == 1.0 and scores[1] <= scores[0]
+    assert report.first()["accuracy"] == 1.0
+    assert chosen.transform(df).filter("pred <> label").count() == 0
