@@ -1,11 +1,4 @@
 """Operators for training-data pipelines over documents and embeddings.
 
-Nothing else in the library imports this package. Functions that run in Python workers travel by
-value, so executors need no copy of it.
+Nothing else in the library imports this package.
 """
-
-import sys
-
-from pyspark import cloudpickle
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

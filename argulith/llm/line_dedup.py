@@ -61,7 +61,7 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", lines: i
     texts move once, to meet the positions they lose.
     """
     taken = list(df.columns)
-    removed, doc = spare("removed", taken), spare("_doc", taken)
+    removed, doc, lost_key, lost_doc = (spare(n, taken) for n in ("removed", "_doc", "_lost_key", "_lost_doc"))
     own = F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"), F.xxhash64(text).alias("t"))
     placed = df.select(own.alias("doc"), F.posexplode(window_hashes(F.col(text), lines)).alias("at", "window"))
     placed = placed.filter(F.col("window").isNotNull()).select("doc", "at", "window.hi", "window.lo")
@@ -75,13 +75,13 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", lines: i
     later = repeats.filter(F.struct("doc", "at") != F.col("first"))
     covered = F.flatten(F.collect_set(F.sequence(F.col("at"), F.col("at") + lines - 1)))
     losses = later.groupBy("doc").agg(F.sort_array(F.array_distinct(covered)).alias(removed)).select(
-        F.col("doc.k").alias(doc + "_k"), F.col("doc.t").alias(doc + "_t"), removed
+        F.col("doc.k").alias(lost_key), F.col("doc.t").alias(lost_doc), removed
     )
     split = F.split(F.col(text), "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(removed))
     kept = F.array_join(F.transform(left, lambda at: F.get(split, at)), "\n")
     joined = df.withColumn(doc, F.xxhash64(text)).join(
-        losses, F.col(key).eqNullSafe(F.col(doc + "_k")) & (F.col(doc) == F.col(doc + "_t")), "left"
+        losses, F.col(key).eqNullSafe(F.col(lost_key)) & (F.col(doc) == F.col(lost_doc)), "left"
     )
     columns = [
         F.when(F.col(removed).isNull(), F.col(text)).otherwise(kept).alias(c) if c == text else F.col(f"`{c}`")

@@ -95,8 +95,8 @@ def mix_rows(
     src, words, total, target, copies, cut = (
         spare(n, taken) for n in ("_source", "_size", "source_size", "target", "copies", "cut")
     )
-    order, part, runs, last, rest, begin = (
-        spare(n, taken) for n in ("_order", "_part", "_runs", "_last", "_rest", "_before")
+    order, part, runs, last, rest, begin, other = (
+        spare(n, taken) for n in ("_order", "_part", "_runs", "_last", "_rest", "_before", "_other")
     )
     keyed = (
         df.withColumn(src, F.col(source).cast("string"))
@@ -126,7 +126,7 @@ def mix_rows(
 
     def with_plan(rows: DataFrame, small: DataFrame) -> DataFrame:
         """Joined by source, nulls too. Without a key over it, a skewed source is split by the engine."""
-        return rows.join(small.withColumnRenamed(src, src + "_2"), F.col(src).eqNullSafe(F.col(src + "_2"))).drop(src + "_2")
+        return rows.join(small.withColumnRenamed(src, other), F.col(src).eqNullSafe(F.col(other))).drop(other)
 
     placed = with_plan(keyed, plan).withColumn(part, F.floor(fraction * F.col(runs)).cast("long"))
     sums = placed.groupBy(src, part, rest).agg(F.sum(words).alias("_sum"))
@@ -139,10 +139,10 @@ def mix_rows(
         .filter(F.col(begin) < F.col(rest))
         .groupBy(src)
         .agg(F.max_by(F.struct(part, begin), part).alias("_cut"))
-        .select(F.col(src).alias(src + "_2"), F.col("_cut")[part].alias(last), F.col("_cut")[begin].alias(begin))
+        .select(F.col(src).alias(other), F.col("_cut")[part].alias(last), F.col("_cut")[begin].alias(begin))
     )
     # A source without a cut has nothing left after whole epochs: all its ranges stand behind the cut.
-    full = plan.join(cuts, F.col(src).eqNullSafe(F.col(src + "_2")), "left").select(
+    full = plan.join(cuts, F.col(src).eqNullSafe(F.col(other)), "left").select(
         *plan.columns, F.coalesce(last, F.lit(-1)).alias(last), F.coalesce(begin, F.lit(0)).alias(begin)
     )
     decided = with_plan(keyed, stage(full, "cuts")).withColumn(part, F.floor(fraction * F.col(runs)).cast("long"))
