@@ -254,8 +254,9 @@ def choose_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_test"), F.avg((F.col("label") == F.col("pred")).cast("double")).alias("share")
     )
     best = candidates.agg(F.count(F.lit(1)).alias("n_candidates"), F.max("macro_f1").alias("most"), F.max_by("macro_f1", F.struct("macro_f1", -F.col("position"))).alias("first"))
-    tagged = [df.withColumn("_one", F.lit(1)) for df in (right, best, report.select("accuracy"))]  # a row each
-    return tagged[0].join(tagged[1], "_one").join(tagged[2], "_one").select(
+    # Three one-row tables: stacked with nulls, then folded.
+    stacked = right.unionByName(best, True).unionByName(report.select("accuracy"), True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns]).select(
         "n_test",
         "n_candidates",
         (F.col("most") == F.col("first")).alias("best_is_chosen"),
