@@ -30,7 +30,7 @@ from argulith.catalog.texts import (
     gazetteer,
     masked_sql,
 )
-from argulith.catalog.vectors import PREDICTIONS_SQL, PAIRS_SQL, _DESCRIBED_SQL, _FOUND_SQL, _NAMED_SQL, _NAMES, _described, tfidf_ctes
+from argulith.catalog.vectors import PREDICTIONS_SQL, _DESCRIBED_SQL, _FOUND_SQL, _NAMED_SQL, _NAMES, _described, tfidf_ctes
 from argulith.catalog.vectors import _passages as _described_passages
 from argulith.functions.explain import template_explanation
 from argulith.functions.text import clean_text, longer_than

@@ -11,14 +11,12 @@ from argulith.catalog.base import (
     CANONICAL_SQL,
     MASKS_SQL,
     NAMED_SQL,
-    RATED_SQL,
     SPLIT_SQL,
     canonical_documents,
     documents_with_masks,
     named_documents,
     query,
     quoted,
-    rated_documents,
     six,
     split_documents,
     table,
