@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from argulith.llm.common import query, spare, table
+from argulith.session import stage
 
 LINES = 3
 BLANK_LINE = r"^[\x20\x09-\x0D]*$"
@@ -54,15 +55,21 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", lines: i
     position, so a text may lose lines that it has itself earlier. Adds ``removed``: the positions
     of the lines taken out, ascending. Texts of fewer than three lines have no window and stay as they
     are; a text all of whose lines go becomes empty; null stays null. Rows repeated whole (same key
-    and text) are one occurrence: they lose the same lines. An empty table gives no rows.
+    and text) are one occurrence: they lose the same lines. Rows without a key are each their own, told
+    apart by a row number, for which they are staged. An empty table gives no rows.
 
     Windows travel as hashes and are counted with partial sums, so a passage in a third of all
     documents is no hot spot; only the join by repeated hash is skewed, which the engine splits. Whole
     texts move once, to meet the positions they lose.
     """
     taken = list(df.columns)
-    removed, doc, lost_key, lost_doc = (spare(n, taken) for n in ("removed", "_doc", "_lost_key", "_lost_doc"))
-    own = F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"), F.xxhash64(text).alias("t"))
+    removed, doc, row, lost_key, lost_doc, lost_row = (
+        spare(n, taken) for n in ("removed", "_doc", "_row", "_lost_key", "_lost_doc", "_lost_row")
+    )
+    unknown = F.col(key).isNull()
+    numbered = stage(df.filter(unknown).withColumn(row, F.monotonically_increasing_id()), "no_key")
+    df = df.filter(~unknown).withColumn(row, F.lit(0).cast("long")).unionByName(numbered)
+    own = F.struct(unknown.alias("n"), F.col(key).alias("k"), F.xxhash64(text).alias("t"), F.col(row).alias("r"))
     placed = df.select(own.alias("doc"), F.posexplode(window_hashes(F.col(text), lines)).alias("at", "window"))
     placed = placed.filter(F.col("window").isNotNull()).select("doc", "at", "window.hi", "window.lo")
     firsts = (
@@ -75,13 +82,15 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", lines: i
     later = repeats.filter(F.struct("doc", "at") != F.col("first"))
     covered = F.flatten(F.collect_set(F.sequence(F.col("at"), F.col("at") + lines - 1)))
     losses = later.groupBy("doc").agg(F.sort_array(F.array_distinct(covered)).alias(removed)).select(
-        F.col("doc.k").alias(lost_key), F.col("doc.t").alias(lost_doc), removed
+        F.col("doc.k").alias(lost_key), F.col("doc.t").alias(lost_doc), F.col("doc.r").alias(lost_row), removed
     )
     split = F.split(F.col(text), "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(removed))
     kept = F.array_join(F.transform(left, lambda at: F.get(split, at)), "\n")
     joined = df.withColumn(doc, F.xxhash64(text)).join(
-        losses, F.col(key).eqNullSafe(F.col(lost_key)) & (F.col(doc) == F.col(lost_doc)), "left"
+        losses,
+        F.col(key).eqNullSafe(F.col(lost_key)) & (F.col(doc) == F.col(lost_doc)) & (F.col(row) == F.col(lost_row)),
+        "left",
     )
     columns = [
         F.when(F.col(removed).isNull(), F.col(text)).otherwise(kept).alias(c) if c == text else F.col(f"`{c}`")

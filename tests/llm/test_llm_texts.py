@@ -233,6 +233,17 @@ def test_line_dedup_odd_tables(spark, odd):
     assert line_dedup.dedup_lines(spark.createDataFrame([], DOC)).collect() == []
 
 
+def test_copies_without_a_key_lose_their_lines(spark):
+    passage = "one\ntwo\nthree"
+    rows = [(None, passage)] * 5 + [(None, f"{passage}\nfour")] * 2 + [(None, None)] * 2 + [(None, "x\ny")] * 2
+    got = [r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOC).repartition(4)).collect()]
+    assert len(got) == len(rows) and got.count(None) == 2 and got.count("x\ny") == 2
+    lines = [line for text in got if text is not None for line in text.split("\n")]
+    assert lines.count("one") == lines.count("two") == lines.count("three") == 1
+    with_key = [r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame([(1, passage), *rows], DOC)).collect()]
+    assert with_key.count(passage) == 1
+
+
 # --- Licences ------------------------------------------------------------------------------------
 
 
