@@ -2,8 +2,9 @@
 
 Within a source, rows stand in the order of a hash of their id. That order is split into ranges of
 equal width, about as many as a range holds rows. Sums per range and their prefix sums say in which
-range the budget ends; only that range's rows are sorted and summed one by one. So the largest piece
-that one task orders is about the square root of the largest source.
+range the budget ends; only that range's rows are summed by id and size, and these sums ordered. So the
+largest piece that one task orders is about the square root of the largest source, besides the different
+sizes of one id. Rows that share id and size with the one at the budget's end are counted by task.
 """
 
 from __future__ import annotations
@@ -70,6 +71,24 @@ def source_targets(
     return weighed.select("source", "source_size", "rows", target.alias("target"))
 
 
+def _row_numbers(rows: DataFrame, group: str, mid: str) -> DataFrame:
+    """Per ``group`` the ``mid`` of the row at position ``_at`` (from 0) in the order of ``mid``, if there is one.
+
+    ``mid`` is a staged ``monotonically_increasing_id``: rows are counted per task that gave it, and
+    only the rows of the one task in which the position lies are numbered.
+    """
+    counted = rows.withColumn("_pid", F.shiftright(mid, 33)).groupBy(group, "_pid", "_at").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    found = (
+        counted.withColumn("_skip", F.col("_at") - F.coalesce(before, F.lit(0)))
+        .filter((F.col("_skip") >= 0) & (F.col("_skip") < F.col("_n")))
+        .select(F.col(group).alias("_group"), F.col("_pid").alias("_task"), "_skip")
+    )
+    there = F.col(group).eqNullSafe(F.col("_group")) & (F.shiftright(mid, 33) == F.col("_task"))
+    place = F.row_number().over(Window.partitionBy(group).orderBy(mid)) - 1
+    return rows.join(found, there).withColumn("_place", place).filter(F.col("_place") == F.col("_skip")).select(group, mid)
+
+
 def mix_rows(
     df: DataFrame,
     key: str = "doc_id",
@@ -95,16 +114,19 @@ def mix_rows(
     src, words, total, target, copies, cut = (
         spare(n, taken) for n in ("_source", "_size", "source_size", "target", "copies", "cut")
     )
-    order, part, runs, last, rest, begin, other = (
-        spare(n, taken) for n in ("_order", "_part", "_runs", "_last", "_rest", "_before", "_other")
+    order, part, runs, last, rest, begin, other, own, end, left, mid, stop = (
+        spare(n, taken)
+        for n in ("_order", "_part", "_runs", "_last", "_rest", "_before", "_other", "_own", "_end", "_left", "_mid", "_stop")
     )
     keyed = (
         df.withColumn(src, F.col(source).cast("string"))
         .withColumn(words, F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)))
         .withColumn(order, F.xxhash64(F.lit(seed), F.col(key)))
+        .withColumn(own, F.struct(F.col(order).alias("order"), F.col(key).alias("key"), F.col(words).alias("words")))
     )
+    narrow = stage(keyed.select(src, words, order, own), "words")
     goals = source_targets(
-        keyed.groupBy(F.col(src).alias("source")).agg(F.sum(words).alias("source_size"), F.count(F.lit(1)).alias("rows")),
+        narrow.groupBy(F.col(src).alias("source")).agg(F.sum(words).alias("source_size"), F.count(F.lit(1)).alias("rows")),
         weights,
         share,
         epochs,
@@ -128,7 +150,7 @@ def mix_rows(
         """Joined by source, nulls too. Without a key over it, a skewed source is split by the engine."""
         return rows.join(small.withColumnRenamed(src, other), F.col(src).eqNullSafe(F.col(other))).drop(other)
 
-    placed = with_plan(keyed, plan).withColumn(part, F.floor(fraction * F.col(runs)).cast("long"))
+    placed = with_plan(narrow, plan).withColumn(part, F.floor(fraction * F.col(runs)).cast("long"))
     sums = placed.groupBy(src, part, rest).agg(F.sum(words).alias("_sum"))
     before = F.coalesce(
         F.sum("_sum").over(Window.partitionBy(src).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
@@ -145,22 +167,44 @@ def mix_rows(
     full = plan.join(cuts, F.col(src).eqNullSafe(F.col(other)), "left").select(
         *plan.columns, F.coalesce(last, F.lit(-1)).alias(last), F.coalesce(begin, F.lit(0)).alias(begin)
     )
-    decided = with_plan(keyed, stage(full, "cuts")).withColumn(part, F.floor(fraction * F.col(runs)).cast("long"))
+    ranges = stage(full, "cuts")
+    # The key and size at which it ends: the last ones that begin before it.
+    alike = (
+        with_plan(narrow, ranges)
+        .filter(F.floor(fraction * F.col(runs)).cast("long") == F.col(last))
+        .groupBy(src, rest, begin, own)
+        .agg(F.sum(words).alias("_sum"))
+    )
+    earlier = F.sum("_sum").over(Window.partitionBy(src).orderBy(own).rowsBetween(Window.unboundedPreceding, -1))
+    ends = (
+        alike.withColumn(left, F.col(rest) - F.col(begin) - F.coalesce(earlier, F.lit(0)))
+        .filter(F.col(left) > 0)
+        .groupBy(src)
+        .agg(F.max_by(F.struct(own, left), own).alias("_last"))
+        .select(F.col(src).alias(other), F.col("_last")[own].alias(end), F.col("_last")[left].alias(left))
+    )
+    full = ranges.join(ends, F.col(src).eqNullSafe(F.col(other)), "left").drop(other)
+    decided = with_plan(keyed, stage(full, "ends")).withColumn(part, F.floor(fraction * F.col(runs)).cast("long"))
+    same = F.col(part) == F.col(last)
+    at_end = F.coalesce(same & (F.col(own) == F.col(end)), F.lit(False))
+    inside = (F.col(part) < F.col(last)) | (same & (F.col(own) < F.col(end)) & (F.col(words) > 0))
     sure = (
-        decided.filter(F.col(part) != F.col(last))
-        .withColumn(copies, F.col(copies) + (F.col(part) < F.col(last)).cast("int"))
+        decided.filter(~at_end)
+        .withColumn(copies, F.col(copies) + F.coalesce(inside, F.lit(False)).cast("int"))
         .withColumn(cut, F.lit(0).cast("long"))
     )
-    inside = Window.partitionBy(src).orderBy(order, key, words).rowsBetween(Window.unboundedPreceding, -1)
-    room = F.col(rest) - F.col(begin) - F.coalesce(F.sum(words).over(inside), F.lit(0))
-    across = (
-        decided.filter(F.col(part) == F.col(last))
-        .withColumn(cut, F.greatest(F.least(room, F.col(words)), F.lit(0)))
-        .withColumn(copies, F.col(copies) + ((F.col(cut) == F.col(words)) & (F.col(words) > 0)).cast("int"))
-        .withColumn(cut, F.when(F.col(cut) < F.col(words), F.col(cut)).otherwise(0).cast("long"))
+    # Rows alike in key and size stand in the order of their staged numbers; often it is one row per source.
+    across = stage(decided.filter(at_end).withColumn(mid, F.monotonically_increasing_id()), "across")
+    stops = _row_numbers(across.select(src, mid, ((F.col(left) - F.col(left) % F.col(words)) / F.col(words)).cast("long").alias("_at")), src, mid)
+    stops = stops.select(F.col(src).alias(other), F.col(mid).alias(stop))
+    # Without a row at the budget's end all of them are inside.
+    numbered = across.join(stops, F.col(src).eqNullSafe(F.col(other)), "left").drop(other)
+    whole_use = F.coalesce(F.col(mid) < F.col(stop), F.lit(True))
+    across = numbered.withColumn(copies, F.col(copies) + whole_use.cast("int")).withColumn(
+        cut, F.when(F.col(mid) == F.col(stop), F.col(left) % F.col(words)).otherwise(0).cast("long")
     )
-    kept = [F.col(f"`{c}`") for c in taken]
-    return sure.unionByName(across).select(*kept, total, target, copies, cut)
+    kept = [*[F.col(f"`{c}`") for c in taken], F.col(total), F.col(target), F.col(copies), F.col(cut)]
+    return sure.select(*kept).unionByName(across.select(*kept))
 
 
 @query("op6_mixing")

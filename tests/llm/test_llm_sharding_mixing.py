@@ -137,3 +137,45 @@ def test_mixing_odd_tables(spark):
     assert (done["copies"] <= 3).all() and (taken <= 3 * done["size"]).all()
     no_words = mixed([(1, "", "en", "s", 0), (2, None, "en", None, 0)])
     assert no_words["copies"].tolist() == [0, 0]
+
+
+def window_inputs(node) -> list[str]:
+    """The columns that go into every window of a plan."""
+    below = [node.children().apply(i) for i in range(node.children().size())]
+    own = [below[0].output().mkString(",")] if node.nodeName() == "Window" else []
+    return own + [columns for child in below for columns in window_inputs(child)]
+
+
+@pytest.mark.parametrize("share", [0.3, 0.5, 0.77, 1.0])
+def test_no_task_orders_all_rows_of_one_key(spark, share):
+    """Null and repeated keys: exact sums, and no text goes into a window."""
+    rows = [(None, "w " * (1 + i % 3), "en", "s", 0) for i in range(3_000)] + [(7, "w w", "en", "s", 0)] * 1_000
+    rows += [(i, "w " * (i % 5), "en", "s", 0) for i in range(100, 1_100)] + [(None, "w w", "en", None, 0)] * 50
+    table = spark.createDataFrame(rows, DOC).repartition(4).withColumn("size", word_count(F.col("text")))
+    mixed = mix_rows(table, weights=(1, 1), share=share)
+    done = mixed.toPandas()
+    taken = done["size"] * done["copies"] + done["cut"]
+    assert len(done) == len(rows) and (done["cut"] < done["size"].clip(lower=1)).all()
+    for _, part in done.assign(taken=taken).groupby("source", dropna=False):
+        assert part["taken"].sum() == np.floor(part["target"].max()) and (part["cut"] > 0).sum() <= 1
+        assert part[part["size"] > 0]["copies"].max() - part[part["size"] > 0]["copies"].min() <= 1
+    assert not any("text#" in columns for columns in window_inputs(mixed._jdf.queryExecution().optimizedPlan()))
+
+
+def test_windows_see_few_rows(spark, monkeypatch):
+    """Rows that reach a window over rows of one key, counted where the windows are built."""
+    from argulith.llm import mixing
+
+    seen = []
+    numbers = mixing._row_numbers
+
+    def counted(rows, group, mid):
+        seen.append(rows.count())
+        return numbers(rows, group, mid)
+
+    monkeypatch.setattr(mixing, "_row_numbers", counted)
+    rows = [(None, "w " * (1 + i), "en", "s", 0) for i in range(300)] + [(None, "w", "en", "s", 0)] * 20
+    table = spark.createDataFrame(rows, DOC).withColumn("size", word_count(F.col("text")))
+    done = mix_rows(table, share=0.5).toPandas()
+    assert seen and max(seen) <= 21
+    assert (done["size"] * done["copies"] + done["cut"]).sum() == np.floor(done["target"].max())
