@@ -29,9 +29,9 @@ from argulith.llm.bpe import byte_characters
 from argulith.llm.common import query, slices, spare, table, with_text_columns
 
 TOKENIZER = "word_bpe_49k.json"
-BLOCK = 1 << 16  # characters that are split into words at a time
-LONG = 256  # words beyond this many characters are streamed in parts and not remembered
-WORDS = 100_000  # words whose ids a task remembers; it forgets them all when it has more
+BLOCK = 1 << 16  # characters that are split into pieces at a time
+LONG = 256  # pieces beyond this many characters are streamed and not remembered
+PIECES = 400_000  # pieces whose ids a task remembers; it forgets them all when it has more
 
 BLANKS = " \t\n\v\f\r"
 
@@ -84,7 +84,8 @@ class Transducer:
 
     def __init__(self, rules: Rules) -> None:
         self.rules = rules
-        self.pairs = {(a, b): (rank, made) for rank, (a, b, made) in enumerate(rules.merges)}
+        self.pairs = {(a, b): rank for rank, (a, b, _) in enumerate(rules.merges)}
+        self.made = [made for _, _, made in rules.merges]
         self.window: list[int] = []
         self.held: int | None = None  # the last byte: it may be the end of the word
         self.full = 2 * rules.lookahead + 64
@@ -104,7 +105,14 @@ class Transducer:
         if self.held is not None:
             symbols.append(self.rules.last[self.held])
         self.window, self.held = [], None
-        return [token for token, _ in self._merge(symbols)]
+        return self._merge_few(symbols) if len(symbols) < 64 else [token for token, _ in self._merge(symbols)]
+
+    def whole(self, data: bytes) -> list[int]:
+        """The ids of one complete piece; one that fits the window is all of it at once."""
+        if len(data) >= self.full:
+            return [*self.feed(data), *self.finish()]
+        self.window, self.held = [self.rules.inner[byte] for byte in data[:-1]], data[-1]
+        return self.finish()
 
     def _settled(self) -> list[int]:
         ends, out = len(self.window) - self.rules.lookahead, []
@@ -120,30 +128,37 @@ class Transducer:
     def _merge(self, symbols: list[int]) -> list[tuple[int, int]]:
         """Tokens of a window and how many symbols each covers: always the lowest, leftmost pair."""
         pairs, count = self.pairs, len(symbols)
-        token: list[int | None] = list(symbols)
-        after = list(range(1, count + 1))
-        before = list(range(-1, count - 1))
-        heap = [(*pairs[p], i, p) for i, p in enumerate(zip(symbols, symbols[1:])) if p in pairs]
-        heap = [(rank, i, made, p) for rank, made, i, p in heap]
+        token: list[int] = [*symbols, -1, -1]  # the last ones stand behind the end and before the start
+        after, before = list(range(1, count + 1)), list(range(-1, count))
+        heap = [(pairs[p], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in pairs]
         heapq.heapify(heap)
         while heap:
-            _, at, made, pair = heapq.heappop(heap)
-            other = after[at]
-            if other >= count or (token[at], token[other]) != pair:
+            rank, at = heapq.heappop(heap)
+            other = after[at] if token[at] >= 0 else count
+            if pairs.get((token[at], token[other])) != rank:
                 continue
-            token[at], token[other] = made, None
+            token[at], token[other] = made, _ = self.made[rank], -1
             after[at] = behind = after[other]
-            if behind < count:
-                before[behind] = at
-                found = pairs.get((made, token[behind]))
-                if found:
-                    heapq.heappush(heap, (found[0], at, found[1], (made, token[behind])))
-            front = before[at]
-            if front >= 0:
-                found = pairs.get((token[front], made))
-                if found:
-                    heapq.heappush(heap, (found[0], front, found[1], (token[front], made)))
-        return [(t, after[i] - i) for i, t in enumerate(token) if t is not None]
+            before[behind] = at
+            if (found := pairs.get((made, token[behind]))) is not None:
+                heapq.heappush(heap, (found, at))
+            if (found := pairs.get((token[before[at]], made))) is not None:
+                heapq.heappush(heap, (found, before[at]))
+        return [(t, after[i] - i) for i, t in enumerate(token[:count]) if t >= 0]
+
+    def _merge_few(self, symbols: list[int]) -> list[int]:
+        """The tokens alone, faster than with a heap while there are few symbols."""
+        rank, none = self.pairs.get, len(self.made)
+        ranks = [rank(p, none) for p in zip(symbols, symbols[1:])]
+        while ranks and (least := min(ranks)) < none:
+            at = ranks.index(least)
+            symbols[at : at + 2] = [made] = [self.made[least]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank((symbols[at - 1], made), none)
+            if at < len(ranks):
+                ranks[at] = rank((made, symbols[at + 1]), none)
+        return symbols
 
 
 # Where a run without blanks may be cut. Both sides of these cuts are normalized by themselves, and
@@ -156,10 +171,22 @@ CUTS = re.compile(
 )
 
 
+# Characters whose classes are the same in every version of Unicode that a regex library may follow.
+SETTLED = re.compile("[ -~\xa0-\u024f\u0400-\u04ff\u2010-\u2027\u20ac\u3001\u3002\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5]*")
+
+Entry = tuple[tuple[int, ...], bytes, bytes, bytes]  # ids; in decimal; the tokens; their own bytes
+
+
 class Streamer:
-    """Words and their pieces to ids, in one task."""
+    """Texts to ids, in one task: blocks to pieces, pieces through the transducer.
+
+    Blocks are normalized by the library. It also splits them, unless all their characters are
+    settled: then the file's pattern alone does, several times as fast. Every different short piece goes
+    through the transducer once and is looked up after that.
+    """
 
     def __init__(self, spec: dict) -> None:
+        import regex
         from tokenizers import Tokenizer
 
         self.rules = Rules(spec)
@@ -168,12 +195,19 @@ class Streamer:
         bare = spec | {"added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}}
         front = Tokenizer.from_str(json.dumps(bare))
         self.normal, self.pieces = front.normalizer, front.pre_tokenizer
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.pattern = None
+        if [t["type"] for t in steps] == ["Split", "ByteLevel"] and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]:
+            if (steps[0]["behavior"], steps[0]["invert"]) == ("Removed", True) and "Regex" in steps[0]["pattern"]:
+                self.pattern = regex.compile(steps[0]["pattern"]["Regex"], regex.V0).findall
         self.byte = {c: b for b, c in enumerate(byte_characters())}
         self.transducer = Transducer(self.rules)
         self.words = re.compile(f"[^{BLANKS}]+").findall
         added = "|".join(map(re.escape, sorted(self.rules.added, key=len, reverse=True)))
         self.split = re.compile(f"({added})").split if added else lambda part: [part]
-        self.seen: dict[str, tuple[int, ...]] = {}
+        self.seen: dict[str, Entry] = {}
+        self.decimal = {i: str(i).encode() for i in self.rules.tokens}
+        self.shown = {i: t.encode() for i, t in self.rules.tokens.items()}
         end = self.rules.end
         self.raw = {
             i: t.encode() if t in self.rules.added
@@ -192,44 +226,73 @@ class Streamer:
             at = cut
         yield text[at:]
 
-    def ids(self, text: str | None) -> Iterator[tuple[int, ...]]:
-        """The ids of a text, some at a time."""
-        seen = self.seen
+    def cut(self, part: str) -> list[str]:
+        """The pieces of a part without added tokens."""
+        if self.normal:
+            part = self.normal.normalize_str(part)
+        if self.pattern and SETTLED.fullmatch(part):
+            return self.pattern(part)
+        byte = self.byte.__getitem__
+        return [bytes(map(byte, piece)).decode() for piece, _ in self.pieces.pre_tokenize_str(part)]
+
+    def entry(self, ids: tuple[int, ...]) -> Entry:
+        return (
+            ids,
+            b" ".join(map(self.decimal.__getitem__, ids)),
+            b" ".join(map(self.shown.__getitem__, ids)),
+            b"".join(map(self.raw.__getitem__, ids)),
+        )
+
+    def piece(self, piece: str) -> Entry:
+        """A piece that has not been seen yet; a long one is put together from what the transducer emits."""
+        made = self.entry(tuple(self.transducer.whole(piece.encode())))
+        if len(piece) <= LONG:
+            if len(self.seen) >= PIECES:
+                self.seen.clear()
+            self.seen[piece] = made
+        return made
+
+    def entries(self, text: str | None) -> Iterator[list[Entry]]:
+        """The ids of a text, a block at a time."""
         for block in self.blocks(text or ""):
-            for word in self.words(block):
-                found = seen.get(word)
-                if found is None:
-                    if len(word) > LONG:
-                        yield from self.long_word(word)
-                        continue
-                    found = tuple(i for part in self.long_word(word) for i in part)
-                    if len(seen) >= WORDS:
-                        seen.clear()
-                    seen[word] = found
-                yield found
-
-    def long_word(self, word: str) -> Iterator[tuple[int, ...]]:
-        """The ids of a run without blanks, part by part; a piece may go on in the next part."""
-        for section in self.split(word):
-            if section in self.rules.added:
-                yield (self.rules.added[section],)
+            if len(block) > BLOCK:
+                for word in self.words(block):
+                    for section in self.split(word):
+                        yield from self.section(section)
                 continue
-            ahead, open_piece = 0, False
-            while ahead < len(section):
-                cut = len(section)
-                if cut - ahead > 2 * LONG:
-                    found = CUTS.search(section, ahead + LONG)
-                    cut = found.start() if found else cut
-                part = self.normal.normalize_str(section[ahead:cut]) if self.normal else section[ahead:cut]
-                pieces = self.pieces.pre_tokenize_str(part)
-                for n, (piece, _) in enumerate(pieces):
-                    if n and open_piece:
-                        yield tuple(self.transducer.finish())
-                    open_piece = True
-                    yield tuple(self.transducer.feed(bytes(map(self.byte.__getitem__, piece))))
-                ahead = cut
-            if open_piece:
-                yield tuple(self.transducer.finish())
+            for section in self.split(block):
+                if section in self.rules.added:
+                    yield [self.entry((self.rules.added[section],))]
+                elif section:
+                    seen = self.seen.get
+                    yield [seen(p) or self.piece(p) for p in self.cut(section)]
+
+    def section(self, section: str) -> Iterator[list[Entry]]:
+        """The same for a run without blanks of any length, part by part; a piece may go on in the next part."""
+        if section in self.rules.added:
+            yield [self.entry((self.rules.added[section],))]
+            return
+        ahead, waiting = 0, False
+        while ahead < len(section):
+            cut = len(section)
+            if cut - ahead > 2 * LONG:
+                found = CUTS.search(section, ahead + LONG)
+                cut = found.start() if found else cut
+            for n, piece in enumerate(self.cut(section[ahead:cut])):
+                if n and waiting:
+                    yield [self.entry(tuple(self.transducer.finish()))]
+                waiting = True
+                if ids := tuple(self.transducer.feed(piece.encode())):
+                    yield [self.entry(ids)]
+            ahead = cut
+        if waiting:
+            yield [self.entry(tuple(self.transducer.finish()))]
+
+    def ids(self, text: str | None) -> Iterator[tuple[int, ...]]:
+        """The ids of a text, some at a time."""
+        for entries in self.entries(text):
+            for entry in entries:
+                yield entry[0]
 
 
 def _spec(path: str | None) -> dict:
@@ -304,50 +367,20 @@ def spelled(parts: Iterator[bytes]) -> Iterator[str]:
     yield machine.decode(b"", True)
 
 
-class Digests:
-    """Digests of a text's ids and of what they decode to, from ids that come some at a time."""
-
-    def __init__(self, streamer: Streamer) -> None:
-        self.streamer = streamer
-        self.shown: dict[tuple[int, ...], tuple[bytes, bytes, bytes]] = {}
-
-    def entry(self, ids: tuple[int, ...]) -> tuple[bytes, bytes, bytes]:
-        tokens, raw = self.streamer.rules.tokens, self.streamer.raw
-        made = (
-            " ".join(map(str, ids)).encode(),
-            " ".join(map(tokens.__getitem__, ids)).encode(),
-            b"".join(map(raw.__getitem__, ids)),
-        )
-        if len(ids) <= LONG:
-            if len(self.shown) >= WORDS:
-                self.shown.clear()
-            self.shown[ids] = made
-        return made
-
-    def of(self, text: str | None) -> tuple[int, str, str, str]:
-        numbers, decoded, plain = sha256(), sha256(), sha256()
-        machine = codecs.getincrementaldecoder("utf-8")("replace")
-        shown, count, waiting, between = self.shown, 0, [], b""
-
-        def flush() -> None:
-            nonlocal between
-            if waiting:
-                a, b, c = zip(*waiting)
-                numbers.update(between + b" ".join(a))
-                decoded.update(between + b" ".join(b))
-                plain.update(machine.decode(b"".join(c)).encode())
-                between = b" "
-                waiting.clear()
-
-        for ids in self.streamer.ids(text):
-            if ids:
-                count += len(ids)
-                waiting.append(shown.get(ids) or self.entry(ids))
-                if len(waiting) >= 4_096:
-                    flush()
-        flush()
-        plain.update(machine.decode(b"", True).encode())
-        return count, numbers.hexdigest(), decoded.hexdigest(), plain.hexdigest()
+def digests(streamer: Streamer, text: str | None) -> tuple[int, str, str, str]:
+    """Number of a text's ids and digests of them, of the tokens and of what they spell, block by block."""
+    numbers, decoded, plain, count, between = sha256(), sha256(), sha256(), 0, b""
+    machine = codecs.getincrementaldecoder("utf-8")("replace")
+    for entries in streamer.entries(text):
+        if entries:
+            ids, shown, tokens, raw = zip(*entries)
+            count += sum(map(len, ids))
+            numbers.update(between + b" ".join(shown))
+            decoded.update(between + b" ".join(tokens))
+            plain.update(machine.decode(b"".join(raw)).encode())
+            between = b" "
+    plain.update(machine.decode(b"", True).encode())
+    return count, numbers.hexdigest(), decoded.hexdigest(), plain.hexdigest()
 
 
 def round_trip(df: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
@@ -363,12 +396,12 @@ def round_trip(df: DataFrame, path: str | None = None, text: str = "text") -> Da
         raise ValueError("files with a decoder of their own are not supported")
     kinds = {"n_tokens": LongType(), "ids_sha256": StringType(), "decoded_sha256": StringType(), "plain_sha256": StringType()}
     out = StructType([StructField(spare(n, df.columns), k, False) for n, k in kinds.items()])
-    held: list[Digests] = []
+    held: list[Streamer] = []
 
     def run(texts: list) -> list[pa.Array]:
         if not held:
-            held.append(Digests(Streamer(spec)))
-        columns = list(zip(*map(held[0].of, texts))) or [()] * 4
+            held.append(Streamer(spec))
+        columns = list(zip(*(digests(held[0], t) for t in texts))) or [()] * 4
         return [pa.array(c, pa.int64() if n == 0 else pa.string()) for n, c in enumerate(columns)]
 
     return with_text_columns(df, text, out, run, limit=2 << 20)
