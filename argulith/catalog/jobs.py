@@ -30,8 +30,7 @@ from argulith.catalog.texts import (
     gazetteer,
     masked_sql,
 )
-from argulith.catalog.vectors import PREDICTIONS_SQL, _DESCRIBED_SQL, _FOUND_SQL, _NAMED_SQL, _NAMES, _described, tfidf_ctes
-from argulith.catalog.vectors import _passages as _described_passages
+from argulith.catalog.vectors import PREDICTIONS_SQL, tfidf_ctes
 from argulith.functions.explain import template_explanation
 from argulith.functions.text import clean_text, longer_than
 from argulith.operators import classify, dedup, hits, labels, ranking, search
@@ -262,27 +261,3 @@ def choose_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("most") == F.col("first")).alias("best_is_chosen"),
         (F.abs(F.col("share") - F.col("accuracy")) < 1e-9).alias("right_on_test"),
     )
-
-
-@query(
-    "generator_pairs",
-    f"""SELECT md5('text: ' || text || ' label: ' || label || ' passages: ' || hits) AS input_md5, md5(explanation) AS target_md5 FROM (
-    SELECT d.text, d.label, d.explanation, coalesce(string_agg(t.text[1:200], ' | ' ORDER BY h.rank), '') AS hits FROM (
-      SELECT doc_id, vec_id, text, confidence, label, {explanation_sql()} AS explanation FROM (
-        SELECT doc_id, vec_id, text, confidence, {_NAMED_SQL.replace('label', 'pred')} AS label FROM ({_DESCRIBED_SQL}))) d
-    LEFT JOIN (SELECT * FROM ({_FOUND_SQL}) WHERE rank <= 3) h ON h.query_id = d.vec_id
-    LEFT JOIN documents t ON t.doc_id = h.id GROUP BY d.doc_id, d.text, d.label, d.explanation)""",
-)
-def generator_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_class = classify.centroid_scorer(table(spark, sf_dir, "embeddings"))
-    named = classify.LinearScorer([_NAMES[c] for c in by_class.labels], by_class.weights)
-    described = _described(spark, sf_dir)
-    passages = _described_passages(spark, sf_dir)
-    found = stage(search.exact_topk(described, passages, 3, "doc_id"), "hits")
-    examples = hits.top_hits_array(hits.hits_to_passages(found, passages, "vec_id")).withColumnRenamed("query_id", "doc_id")
-    scored = scoring.predict(described, named).withColumnRenamed("pred", "predicted_fallacy")
-    explained = scored.withColumn(
-        "explanation", template_explanation(F.col("text"), F.col("predicted_fallacy"), F.col("confidence"))
-    ).join(examples, "doc_id", "left")
-    pairs = corpus_plan.generator_pairs(explained)
-    return pairs.select(F.md5("input").alias("input_md5"), F.md5("target").alias("target_md5"))

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from argulith import fixed_values as fixed
-from argulith.catalog.base import CANONICAL_SQL, SPLIT_CASE_SQL, SPLIT_SQL, canonical_documents, query, quoted, rated_documents, six, table, texts
-from argulith.catalog.texts import TOKENS_SQL, explanation_sql
+from argulith.catalog.base import CANONICAL_SQL, SPLIT_CASE_SQL, SPLIT_SQL, canonical_documents, query, rated_documents, six, table, texts
+from argulith.catalog.texts import TOKENS_SQL
 from argulith.functions import vectors as vx
 from argulith.operators.bounded import broadcast_bounded
 from argulith.operators import classify, hits, metrics, ranking, search, tfidf
@@ -247,9 +246,7 @@ def split_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tfidf_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three most similar train rows of every test row."""
     test, train, model = _train_test(spark, sf_dir)
-    as_vectors = [
-        model.transform(df).select("doc_id", vector_to_array("features").alias("vector")) for df in (test, train)
-    ]
+    as_vectors = [model.encode(df, out="vector").select("doc_id", "vector") for df in (test, train)]
     found = search.exact_topk(*as_vectors, 3, "doc_id", "doc_id", "vector").filter(F.col("score") > 0)
     return found.select(
         F.col("query_id").alias("doc_id"), F.col("id").alias("train_id"), six("score").alias("similarity"), F.col("rank").cast("long").alias("rank")
@@ -407,85 +404,7 @@ def train_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- prediction, retrieval, explanation, fusion ---------------------------------------------------
-
-
-# Vectors 3, 13, 23, ... are missing here, as an encoder may fail on some texts.
-_MISSING = "vec_id % 10 = 3"
-
-
-def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with a vector: there are fewer vectors, so they are dealt out in turn."""
-    vectors = _embeddings(spark, sf_dir)
-    dealt = vectors.count()
-    held = vectors.withColumn("embedding", F.when(~F.expr(_MISSING), F.col("embedding")))
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", (F.col("doc_id") % dealt).alias("vec_id"))
-    return documents.join(held, "vec_id", "left")
-
-
-_DESCRIBED_SQL = f"""SELECT doc_id, text, vec_id, CASE WHEN NOT {_MISSING} THEN pred END AS pred,
-CASE WHEN NOT {_MISSING} THEN confidence END AS confidence
-FROM documents LEFT JOIN ({PREDICTIONS_SQL}) p ON vec_id = doc_id % (SELECT count(*) FROM embeddings)"""
-
-
-@query("predict_batch", f"SELECT doc_id, text[1:100] AS text, pred AS fallacy, round(confidence, 6) AS confidence FROM ({_DESCRIBED_SQL})")
-def predict_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents; those without a vector have no prediction."""
-    scorer = classify.centroid_scorer(_embeddings(spark, sf_dir))
-    scored = scoring.predict_batch(_described(spark, sf_dir), scorer, "doc_id")
-    return scored.withColumn("confidence", six("confidence"))
-
-
-def _passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The vectors that are there, with the text of the document of the same key."""
-    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
-    return _embeddings(spark, sf_dir).filter(f"NOT {_MISSING}").select("vec_id", "embedding").join(documents, "vec_id")
-
-
-_FOUND_SQL = f"""SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank
-FROM ({PAIRS_SQL}) WHERE id IN (SELECT doc_id FROM documents) AND NOT {_MISSING.replace('vec_id', 'id')}
-AND NOT {_MISSING.replace('vec_id', 'query_id')}"""
-
-
-@query(
-    "predict_with_retrieval",
-    f"""SELECT d.doc_id, d.pred AS fallacy, round(d.confidence, 6) AS confidence, count(h.id) AS n_similar,
-    md5(coalesce(string_agg(t.text[1:200] || '#' || printf('%.4f', h.score), '|' ORDER BY h.rank), '')) AS similar_md5
-    FROM ({_DESCRIBED_SQL}) d LEFT JOIN (SELECT * FROM ({_FOUND_SQL}) WHERE rank <= 3) h ON h.query_id = d.vec_id
-    LEFT JOIN documents t ON t.doc_id = h.id
-    GROUP BY d.doc_id, d.pred, d.confidence""",
-)
-def predict_with_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scorer = classify.centroid_scorer(_embeddings(spark, sf_dir))
-    """All documents; those without a vector have neither a prediction nor passages."""
-    described = _described(spark, sf_dir)
-    answered = scoring.predict_with_retrieval(described, scorer, _passages(spark, sf_dir), 3, "doc_id", "vec_id")
-    shown = F.transform("similar_examples", lambda h: F.concat(h["text"], F.lit("#"), F.format_string("%.4f", h["score"])))
-    return answered.select(
-        "doc_id",
-        "fallacy",
-        six("confidence").alias("confidence"),
-        F.size("similar_examples").cast("long").alias("n_similar"),
-        F.md5(F.array_join(shown, "|")).alias("similar_md5"),
-    )
-
-
-# The ten classes of the vectors under the names of the first ten labels.
-_NAMES = fixed.CANONICAL_LABELS[:10]
-_NAMED_SQL = "list_extract([{}], label::BIGINT + 1)".format(", ".join(quoted(n) for n in _NAMES))
-
-
-@query(
-    "predict_and_explain",
-    f"""SELECT doc_id, predicted_fallacy, round(confidence, 6) AS confidence, {explanation_sql('predicted_fallacy')} AS explanation
-    FROM (SELECT doc_id, text, confidence, {_NAMED_SQL.replace('label', 'pred')} AS predicted_fallacy FROM ({_DESCRIBED_SQL}))""",
-)
-def predict_and_explain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_class = classify.centroid_scorer(_embeddings(spark, sf_dir))
-    named = classify.LinearScorer([_NAMES[c] for c in by_class.labels], by_class.weights)
-    explained = scoring.predict_and_explain(_described(spark, sf_dir), named, "doc_id")
-    return explained.select("doc_id", "predicted_fallacy", six("confidence").alias("confidence"), "explanation")
-
+# --- grounding and fusion -------------------------------------------------------------------------
 
 # Two explanations per case, as vectors: two other vectors stand in for what a text encoder makes of
 # the two texts. Only rated documents are passages, so of the three nearest vectors of a case some,

@@ -52,12 +52,22 @@ def argmax(values: Column) -> Column:
 
 
 def matrix_of(vectors: pa.Array | pa.ChunkedArray, width: int | None = None) -> np.ndarray:
-    """Vectors without nulls among them as the rows of a matrix; all have ``width`` components, or it is an error."""
+    """Vectors without nulls among them as the rows of a matrix; all have ``width`` components, or it is an error.
+
+    A vector is a list, or a struct ``(size, indices, values)`` that names its components other than 0.
+    """
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     if not len(vectors):
         return np.empty((0, width or 0))
-    lengths = pc.unique(pc.list_value_length(vectors)).to_pylist()
+    sparse = pa.types.is_struct(vectors.type)
+    lengths = pc.unique(pc.struct_field(vectors, "size") if sparse else pc.list_value_length(vectors)).to_pylist()
     if lengths != [lengths[0] if width is None else width]:
         raise ValueError(f"vectors of {lengths} dimensions" + ("" if width is None else f" against {width}"))
+    if sparse:
+        rows = np.zeros((len(vectors), lengths[0]))
+        indices, values = pc.struct_field(vectors, "indices"), pc.struct_field(vectors, "values")
+        row = np.repeat(np.arange(len(vectors)), pc.list_value_length(indices).to_numpy(zero_copy_only=False))
+        rows[row, indices.flatten().to_numpy(zero_copy_only=False)] = values.flatten().to_numpy(zero_copy_only=False)
+        return rows
     return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(vectors), -1)

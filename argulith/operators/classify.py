@@ -25,6 +25,7 @@ from argulith.operators.metrics import confusion_matrix, metrics_record
 from argulith.session import stage
 
 MAX_CLASSES = 10_000
+_PRODUCT_ROWS = 2_048  # vectors that stand as a dense matrix at a time
 
 
 OUTCOME = T.StructType(
@@ -39,7 +40,10 @@ OUTCOME = T.StructType(
 def _products(vectors: pa.Array, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Scores of the vectors that are there, and which rows have none."""
     missing = vectors.is_null().to_numpy(zero_copy_only=False)
-    return matrix_of(vectors.drop_null(), weights.shape[1]) @ weights.T, missing
+    held, parts = vectors.drop_null(), [np.empty((0, len(weights)))]
+    for at in range(0, len(held), _PRODUCT_ROWS):
+        parts.append(matrix_of(held.slice(at, _PRODUCT_ROWS), weights.shape[1]) @ weights.T)
+    return np.concatenate(parts), missing
 
 
 def _as_lists(rows: np.ndarray, missing: np.ndarray) -> pa.ListArray:

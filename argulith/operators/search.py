@@ -165,10 +165,12 @@ def _product(corpus: DataFrame, queries: pa.Table, state, schema: str, by_cell:
             if not batch.num_rows:
                 continue
             passages = batch.column("id").to_numpy(zero_copy_only=False)
-            points = matrix_of(batch.column("vector"), matrix.shape[1])
             if not by_cell:
-                kept.add(passages, points, everyone)
+                for at in range(0, len(passages), _PRODUCT_ROWS):
+                    points = matrix_of(batch.column("vector").slice(at, _PRODUCT_ROWS), matrix.shape[1])
+                    kept.add(passages[at : at + _PRODUCT_ROWS], points, everyone)
                 continue
+            points = matrix_of(batch.column("vector"), matrix.shape[1])
             cells = batch.column("cell").to_numpy(zero_copy_only=False)
             for cell in np.unique(cells):
                 if cell in by:
@@ -217,7 +219,7 @@ def _in_blocks(
     """
     spark = corpus.sparkSession
     queries = stage(queries, "queries")
-    rows, width = queries.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    rows, width = queries.agg(F.count(F.lit(1)), F.max(_width(queries))).first()
     if not rows:
         return spark.createDataFrame([], schema)
     most = max(1, block_bytes // (8 * (width + kept)))
@@ -248,9 +250,18 @@ def _search(queries: DataFrame, corpus: DataFrame, k: int, by_cell: bool, block_
     return _in_blocks(queries, corpus, run, f"{_HIT}, rank int", block_bytes, 2 * k, by_cell)
 
 
+def _sparse(df: DataFrame, vector: str) -> bool:
+    return isinstance(df.schema[vector].dataType, T.StructType)
+
+
+def _width(df: DataFrame) -> Column:
+    return F.col("vector.size") if _sparse(df, "vector") else F.size("vector")
+
+
 def _as_queries(df: DataFrame, key: str, vector: str) -> DataFrame:
     """Rows without a vector ask for nothing and are never found."""
-    return df.filter(F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("query_id"), as_double(F.col(vector)).alias("vector"))
+    value = F.col(vector) if _sparse(df, vector) else as_double(F.col(vector))
+    return df.filter(F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("query_id"), value.alias("vector"))
 
 
 def _as_passages(df: DataFrame, key: str, vector: str, *more: str) -> DataFrame:

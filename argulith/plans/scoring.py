@@ -31,16 +31,23 @@ def predict_batch(
     )
 
 
-def predict_with_retrieval(
-    df: DataFrame, scorer: LinearScorer | TextClassifier, corpus: DataFrame, k: int = 3,
-    id_col: str = "doc_id", corpus_id: str = "id", vector: str = "embedding",
+def similar_examples(
+    df: DataFrame, corpus: DataFrame, k: int = 3, id_col: str = "doc_id", corpus_id: str = "id", vector: str = "embedding"
 ) -> DataFrame:
-    """Predictions with the k most similar passages as ``(text, score)`` lists.
+    """``(id, similar_examples)``: the k most similar passages of every row that has any, best first.
 
     The hits are staged: they are few, and looking for hot passages must not search twice.
     """
     hits = stage(exact_topk(df, corpus, k, id_col, corpus_id, vector), "hits")
-    examples = top_hits_array(hits_to_passages(hits, corpus, corpus_id)).withColumnRenamed("query_id", id_col)
+    return top_hits_array(hits_to_passages(hits, corpus, corpus_id)).withColumnRenamed("query_id", id_col)
+
+
+def predict_with_retrieval(
+    df: DataFrame, scorer: LinearScorer | TextClassifier, corpus: DataFrame, k: int = 3,
+    id_col: str = "doc_id", corpus_id: str = "id", vector: str = "embedding",
+) -> DataFrame:
+    """Predictions with the k most similar passages as ``(text, score)`` lists."""
+    examples = similar_examples(df, corpus, k, id_col, corpus_id, vector)
     none = F.array().cast("array<struct<text: string, score: double>>")
     return (
         predict_batch(df, scorer, id_col)
