@@ -264,7 +264,7 @@ def max_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {PRODUCT_CTES} SELECT count(*) FILTER (max_score > 0.85) AS near_duplicates, count(*) AS compared FROM sims",
 )
 def near_duplicate_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tfidf.near_duplicate_count(tfidf.distinct_similarity(*_train_test(spark, sf_dir)))
+    return tfidf.near_duplicate_count(tfidf.near_copies(*_train_test(spark, sf_dir)))
 
 
 # --- metrics -------------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from argulith.functions.text import has_mask
 from argulith.operators.dedup import split_overlap
 from argulith.operators.ranking import head_n, sample_n
-from argulith.operators.tfidf import distinct_similarity, fit_tfidf, near_duplicate_count
+from argulith.operators.tfidf import fit_tfidf, near_copies, near_duplicate_count
 
 SPLITS = ("train", "val", "test")
 
@@ -49,7 +49,7 @@ def near_duplicates(
     test = test if sample_test is None else head_n(test, sample_test, id_col)
     both = train.select(id_col, text_col).unionByName(test.select(id_col, text_col))
     model = fit_tfidf(both, text_col, max_features)
-    return near_duplicate_count(distinct_similarity(test, train, model, id_col, text_col), above)
+    return near_duplicate_count(near_copies(test, train, model, above, id_col, text_col))
 
 
 def leakage_report(
