@@ -11,7 +11,7 @@ from argulith.catalog.base import CANONICAL_SQL, SPLIT_CASE_SQL, SPLIT_SQL, cano
 from argulith.catalog.texts import TOKENS_SQL
 from argulith.functions import vectors as vx
 from argulith.operators.bounded import broadcast_bounded
-from argulith.operators import classify, hits, metrics, ranking, search, tfidf
+from argulith.operators import classify, hits, metrics, minhash, ranking, search, tfidf
 from argulith.plans import scoring
 from argulith.session import scratch_path, stage
 from argulith.sources import stores
@@ -267,6 +267,23 @@ def near_duplicate_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tfidf.near_duplicate_count(tfidf.near_copies(*_train_test(spark, sf_dir)))
 
 
+_SETS_SQL = f"""SELECT split, min(doc_id) AS id, words FROM (
+SELECT doc_id, split, list_sort(list_distinct({TOKENS_SQL})) AS words FROM ({_COMPARED_SQL})) WHERE len(words) > 0 GROUP BY split, words"""
+
+
+@query(
+    "minhash_similarity",
+    f"""WITH sets AS ({_SETS_SQL}), met AS (SELECT a.id AS doc_id, b.id AS train_id, len(list_intersect(a.words, b.words)) AS common,
+      len(a.words) + len(b.words) AS total FROM sets a JOIN sets b ON a.split = 'test' AND b.split = 'train')
+    SELECT doc_id, train_id, round(common / (total - common)::DOUBLE, 6) AS jaccard FROM met WHERE common / (total - common)::DOUBLE >= 0.8""",
+)
+def minhash_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test and train rows that share four fifths of their words, found by equal bands; SQL compares all pairs."""
+    parts = ranking.hash_split(texts(spark, sf_dir), "doc_id")
+    found = minhash.minhash_join(*(parts.filter(F.col("split") == name) for name in ("test", "train")))
+    return found.select(F.col("left_id").alias("doc_id"), F.col("right_id").alias("train_id"), six("jaccard").alias("jaccard"))
+
+
 # --- metrics -------------------------------------------------------------------------------------
 
 _PAIRS_OF_LABELS_SQL = f"SELECT label, pred FROM ({PREDICTIONS_SQL})"
