@@ -1,22 +1,23 @@
 """Toxicity by compression distance: a window compresses better with a dictionary of its own kind.
 
-Two zstandard dictionaries are trained, one on ordinary and one on toxic text. Both begin with what
-their class says that the common language does not, and end with the same part trained on the common
-language, so their lengths differ where a class's own words stand and hardly anywhere else. A text's
-windows give a few features, and a logistic threshold is calibrated on labelled texts that the
-dictionaries have not seen.
+Two zstandard dictionaries are trained, one on windows of ordinary and one on windows of toxic text. A class's
+windows are of two sorts: those the other class could have said too, and those around a word that it never
+says. Each sort trains a part of the dictionary. The first is the same for both classes, so lengths
+differ hardly anywhere but where a text speaks like one class only. How large the second may be is chosen,
+and a logistic threshold set, on labelled texts that trained nothing.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
-from collections.abc import Iterable
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from argulith.llm.common import fold, query, spare, table, with_text_columns
 from argulith.session import stage
@@ -24,9 +25,10 @@ from argulith.session import stage
 SAMPLE_DOCS = 2_000  # labelled texts per class that train the dictionaries; as many calibrate
 SAMPLE_CHARS = 16_000  # longer texts are not in that sample; every text is scored whole
 WINDOW = 64  # bytes, to the end of a word
-COMMON_BYTES = 65_536
-OWN_BYTES = 2_048
-MIN_CONTEXTS = 10
+COMMON_BYTES = 65_536  # of the part that both classes share
+OWN_BYTES = (512, 1_024, 2_048, 4_096)  # sizes of a class's own part to choose from
+OWN_WORDS = 2  # words of a training window
+MIN_WINDOWS = 6  # distinct windows around a word that make them more than chance
 LEVEL = 15
 SEED = 42
 FOLDS, HELD_OUT = 5, 0
@@ -49,61 +51,70 @@ def windows(text: str | None, width: int | None = None) -> list[bytes]:
     return cuts
 
 
-def units(word: bytes) -> list[bytes]:
-    """A word and the beginnings of 4 to 8 bytes that inflected and compound words share."""
-    return [b" " + word[:n] for n in range(4, 9) if n < len(word)] + [b" " + word + b" "]
+def lines(texts: Iterable[str]) -> Iterator[list[bytes]]:
+    """The words of every distinct line: copies and passages that documents share count once."""
+    seen: set[bytes] = set()
+    for text in texts:
+        for line in text.encode().lower().split(b"\n"):
+            digest = blake2b(line, digest_size=16).digest()
+            if digest not in seen:
+                seen.add(digest)
+                yield line.split()
 
 
-def said(texts: Iterable[str]) -> set[bytes]:
-    """All units of the texts."""
-    words = {word for text in texts for word in words_of(text)}
-    return {unit for word in words for unit in units(word)}
+def joined(words: list[bytes]) -> bytes:
+    return b" " + b" ".join(words) + b" "
 
 
-def own_part(texts: list[str], others: set[bytes]) -> bytes:
-    """The part of a dictionary that is a class's own: units that the others never say.
+def own_windows(texts: list[str], others: set[bytes]) -> list[bytes]:
+    """Distinct windows around words that the other class never says, if the word has several of them."""
+    around: dict[bytes, set[bytes]] = defaultdict(set)
+    for words in lines(texts):
+        for at, word in enumerate(words):
+            if word not in others and 3 <= len(word) <= 32:
+                low = max(0, at - OWN_WORDS // 2)
+                around[word].add(joined(words[low : low + OWN_WORDS]))
+    return [w for word in sorted(around) if len(around[word]) >= MIN_WINDOWS for w in sorted(around[word])]
 
-    Units are taken by their number of distinct contexts, the longer first, unless they are part of
-    one already taken; the most frequent stand last, where zstandard reaches them most cheaply. A
-    context is a word and the word before it: copies and shared passages repeat contexts, so they
-    add nothing.
-    """
-    contexts: dict[bytes, set[tuple]] = defaultdict(set)
-    for text in texts:
-        words = words_of(text)
-        for context in zip([b"", *words], words):
-            if 3 <= len(context[1]) <= 32:
-                for unit in units(context[1]):
-                    if unit not in others:
-                        contexts[unit].add(context)
-    part = b""
-    for unit in sorted(contexts, key=lambda u: (-len(contexts[u]), -len(u), u)):
-        if len(contexts[unit]) < MIN_CONTEXTS or len(part) + len(unit) > OWN_BYTES:
-            break
-        if unit not in part:
-            part = unit + part
-    return part
+
+def shared_windows(texts: list[str], both: set[bytes]) -> list[bytes]:
+    """Distinct windows of words that both classes say."""
+    found: dict[bytes, None] = {}
+    for words in lines(texts):
+        for at in range(0, len(words), OWN_WORDS):
+            part = words[at : at + OWN_WORDS]
+            if both.issuperset(part):
+                found[joined(part)] = None
+    return [w for w in found if len(w) >= 8]
 
 
 def trained(samples: list[bytes], size: int) -> bytes:
-    """A zstandard dictionary of the samples; the distinct samples themselves if they are too few."""
+    """A zstandard dictionary of the samples; the samples themselves if they are too few for one."""
     import zstandard
 
     order = np.random.default_rng(SEED).permutation(len(samples))
     try:
         return zstandard.train_dictionary(size, [samples[i] for i in order]).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(word for word, _ in Counter(samples).most_common())[:size]
+        return b"".join(samples)[:size]
 
 
 def dictionaries(ordinary: list[str], toxic: list[str]) -> tuple[bytes, bytes]:
-    """The two dictionaries. Every second ordinary text stands for the common language."""
-    shared = [set(words_of(t)) for t in ordinary[::2]]
-    base = trained([b" " + w + b" " for s in shared for w in sorted(s) if 3 <= len(w) <= 32], COMMON_BYTES)
+    """The two dictionaries with the largest own parts."""
+    return dictionary_pairs(ordinary, toxic, OWN_BYTES[-1:])[0]
+
 
-    own = [own_part(ordinary[1::2], said(ordinary[::2]) | said(toxic)), own_part(toxic, said(ordinary))]
-    size = max(map(len, own))
-    return own[0].rjust(size) + base, own[1].rjust(size) + base
+def dictionary_pairs(ordinary: list[str], toxic: list[str], sizes: tuple[int, ...] = OWN_BYTES) -> list[tuple[bytes, bytes]]:
+    """The two dictionaries, for every size of their own parts."""
+    said = [{w for t in texts for w in words_of(t)} for texts in (ordinary, toxic)]
+    shared = trained(shared_windows(ordinary + toxic, said[0] & said[1]), COMMON_BYTES)
+    own = own_windows(ordinary, said[1]), own_windows(toxic, said[0])
+    pairs = []
+    for size in sizes:
+        parts = [trained(windows, size) for windows in own]
+        longest = max(map(len, parts))  # distances into the shared part are the same in both
+        pairs.append(tuple(part.rjust(longest) + shared for part in parts))
+    return pairs
 
 
 def compressor(dictionary: bytes):
@@ -123,17 +134,17 @@ def measure(text: str | None, ordinary, toxic) -> tuple[float, float, float]:
     return float(saved.mean()), float(saved.max()), float(np.maximum(saved - 2, 0).sum() / np.sqrt(len(saved) + 3))
 
 
-def with_features(df: DataFrame, text: str, pair: tuple[bytes, bytes]) -> DataFrame:
-    """``df`` with the features of whole texts; null and empty texts have zeros."""
+def with_features(df: DataFrame, text: str, pairs: list[tuple[bytes, bytes]]) -> DataFrame:
+    """``df`` with the features of whole texts, an array per feature with a number per pair; null and empty texts have zeros."""
     held: list = []
 
     def run(texts: list) -> list[pa.Array]:
         if not held:
-            held.extend(compressor(d) for d in pair)
-        columns = list(zip(*[measure(t, *held) for t in texts])) or [()] * len(FEATURES)
-        return [pa.array(c, pa.float64()) for c in columns]
+            held.extend([compressor(d) for d in pair] for pair in pairs)
+        rows = [list(zip(*[measure(t, *pair) for pair in held])) for t in texts]
+        return [pa.array([row[n] for row in rows], pa.list_(pa.float64())) for n in range(len(FEATURES))]
 
-    fields = [StructField(spare(f, df.columns), DoubleType(), False) for f in FEATURES]
+    fields = [StructField(spare(f, df.columns), ArrayType(DoubleType(), False), False) for f in FEATURES]
     return with_text_columns(df, text, StructType(fields), run)
 
 
@@ -162,7 +173,8 @@ class CompressionModel:
         """``df`` with ``score`` (0 to 1, higher: toxic likelier) and ``predicted`` (1 if score >= 0.5).
 
         Whole texts are scored. Null and empty texts have no windows and get the score of zero
-        features. A model fitted without both classes scores 0.
+        features. Repeated rows are scored one by one, an empty table gives no rows, other columns stay as
+        they are and the new ones get underscores where names clash. A model fitted without both classes scores 0.
         """
         taken = list(df.columns)
         score, predicted = spare("score", taken), spare("predicted", taken)
@@ -170,9 +182,9 @@ class CompressionModel:
         if self.pair is None:
             return df.select(*kept, F.lit(0.0).alias(score), F.lit(0).alias(predicted))
         names = [spare(f, taken) for f in FEATURES]
-        line = sum((F.col(n) * b for n, b in zip(names, self.beta[1:])), F.lit(self.beta[0]))
+        line = sum((F.col(n)[0] * b for n, b in zip(names, self.beta[1:])), F.lit(self.beta[0]))
         chance = 1 / (1 + F.exp(-line))
-        scored = with_features(df, text, self.pair).select(*kept, chance.alias(score))
+        scored = with_features(df, text, [self.pair]).select(*kept, chance.alias(score))
         return scored.withColumn(predicted, (F.col(score) >= 0.5).cast("int"))
 
 
@@ -212,8 +224,8 @@ def fit(
     """A model from documents and ``known`` labels (key, ``label``: 1 toxic, 0 ordinary, others ignored).
 
     Per class, a hash sample of about ``sample_docs`` texts of 1 to ``SAMPLE_CHARS`` characters at
-    most trains the dictionaries; another, one labelled text in four, calibrates, weighted back to
-    its class's share. So about 2 x ``sample_docs`` texts reach the driver.
+    most trains the dictionaries; another, one labelled text in four, chooses the size of their own parts
+    and calibrates, weighted back to its class's share. So about 2 x ``sample_docs`` texts reach the driver.
     """
     sample = stage(sampled_texts(documents, known, key, text, sample_docs), "labelled")
     texts = [
@@ -222,15 +234,23 @@ def fit(
     ]
     if not texts[0] or not texts[1]:
         return CompressionModel(None, np.zeros(1 + len(FEATURES)))
-    pair = dictionaries(*texts)
+    pairs = dictionary_pairs(*texts)
     seen = sample.filter("calibrates").repartition(documents.sparkSession.sparkContext.defaultParallelism)
-    measured = with_features(seen, "text", pair).select("label", "share", *FEATURES)
-    found = np.array([tuple(r) for r in measured.collect()], dtype=float).reshape(-1, 2 + len(FEATURES))
-    y, share, x = found[:, 0], found[:, 1], found[:, 2:]
+    rows = with_features(seen, "text", pairs).select("label", "share", *FEATURES).collect()
+    y = np.array([r["label"] for r in rows], dtype=float)
     if len(set(y)) < 2:
         return CompressionModel(None, np.zeros(1 + len(FEATURES)))
-    weight = np.array([share[i] / (y == y[i]).sum() for i in range(len(y))])
-    return CompressionModel(pair, logistic(x, y, weight * len(y) / weight.sum()))
+    weight = np.array([r["share"] / (y == r["label"]).sum() for r in rows])
+    weight *= len(y) / weight.sum()
+    best = None
+    for n, pair in enumerate(pairs):
+        x = np.array([[r[f][n] for f in FEATURES] for r in rows])
+        beta = logistic(x, y, weight)
+        line = beta[0] + x @ beta[1:]
+        loss = float((weight * np.logaddexp(0, np.where(y == 1, -line, line))).sum())
+        if best is None or loss < best[0]:
+            best = loss, pair, beta
+    return CompressionModel(*best[1:])
 
 
 def held_out(key: str) -> Column:

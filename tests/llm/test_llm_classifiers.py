@@ -117,3 +117,29 @@ def test_windows_are_the_whole_text():
         if len(line) > 1 and toxicity.words_of(text):
             assert b"".join([cuts[0], *[c[1:] for c in cuts[1:]]]) == line
         assert all(len(c) <= 2 * toxicity.WINDOW + 1 for c in cuts)
+
+
+def spoken(count: int, words: list[str], own: list[str], seed: int) -> list[str]:
+    import random
+
+    draw = random.Random(seed)
+    return [" ".join(draw.choice(own) if own and draw.random() < 0.1 else draw.choice(words) for _ in range(120)) for _ in range(count)]
+
+
+def test_each_class_trains_its_own_dictionary():
+    common = [f"{a}{b}" for a in ("sun", "rain", "wind", "hill") for b in ("set", "fall", "mill", "side", "ward")]
+    ordinary = spoken(60, common, ["harvest", "orchard"], 1)
+    toxic = spoken(60, common, ["blockhead", "numbskull"], 2) + ["sunset rainonce"] * 500
+    for mild, harsh in toxicity.dictionary_pairs(ordinary, toxic):
+        assert len(mild) == len(harsh) and mild != harsh
+        assert b"harvest" in mild and b"harvest" not in harsh and b"numbskull" in harsh and b"numbskull" not in mild
+        assert b"rainonce" not in mild + harsh  # many copies are one window
+        saved = [toxicity.measure(text, toxicity.compressor(mild), toxicity.compressor(harsh))[0] for text in ("sunset blockhead rainfall", "orchard hillside", "")]
+        assert saved[0] > 0 > saved[1] and saved[2] == 0
+
+
+def test_windows_of_a_class():
+    toxic = ["the old fool sat", "a poor fool ran", "the old fool sat", "one odd fool", "my fool", "big fool", "sad fool"]
+    found = toxicity.own_windows(toxic, {b"the", b"old"})
+    assert found == sorted({b" old fool ", b" poor fool ", b" odd fool ", b" my fool ", b" big fool ", b" sad fool "})
+    assert toxicity.shared_windows(["the old the old", "the old the old"], {b"the", b"old"}) == [b" the old "]
