@@ -31,6 +31,9 @@ LISTS_MOST = 1_024
 SUBSPACE = 4  # components per code
 CODES = 64  # codes per subspace
 TILE_ROWS = 4_096  # vectors, and queries, that meet in one task at a time
+TILE_BYTES = 32 << 20  # of vectors on either side of a tile; wide vectors make tiles of fewer rows
+QUERY_ROWS = 128  # queries of a tile whose distances stand as a matrix
+PAIR_BYTES = 16 << 20  # of vectors fetched for pairs at a time
 SLACK = 1e-6  # far above rounding, far below any distance that matters
 SEED = 42
 
@@ -130,6 +133,24 @@ def _matrix(column: pd.Series, kind, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype=kind).reshape(len(column), width)
 
 
+def _linked(part: np.ndarray, vectors: np.ndarray, near: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs among the near ones whose cosine reaches the threshold.
+
+    Vectors are unit vectors in double precision, so the product is the cosine. Where many pairs are near,
+    one matrix product has them all; else the few pairs' vectors are fetched, some at a time.
+    """
+    a, b = np.nonzero(near)
+    if len(a) > near.size // 32:
+        cosines = part @ vectors.T
+        return np.nonzero(near & (cosines >= threshold))
+    at_once = max(1, PAIR_BYTES // (8 * vectors.shape[1]))
+    linked = np.zeros(len(a), dtype=bool)
+    for at in range(0, len(a), at_once):
+        some = slice(at, at + at_once)
+        linked[some] = np.einsum("ij,ij->i", part[a[some]], vectors[b[some]]) >= threshold
+    return a[linked], b[linked]
+
+
 def tile_links(members: pd.DataFrame, queries: pd.DataFrame, quantiser: Quantiser, threshold: float) -> pd.DataFrame:
     """Links between the members of one list and some queries: per row, how many, and a root.
 
@@ -144,27 +165,21 @@ def tile_links(members: pd.DataFrame, queries: pd.DataFrame, quantiser: Quantise
     ids, copies = members["row"].to_numpy(), members["copies"].to_numpy()
     asked, asked_ids = _matrix(queries["q_vector"], np.float64, vectors.shape[1]), queries["q_row"].to_numpy()
     nodes, place = np.unique(np.concatenate([ids, asked_ids]), return_inverse=True)
-    left, right, counts = [], [], np.zeros(len(asked_ids), dtype=np.int64)
-    for first in range(0, len(asked), 128):
-        part = asked[first : first + 128]
+    counts, roots = np.zeros(len(asked_ids), dtype=np.int64), np.arange(len(nodes))
+    for first in range(0, len(asked), QUERY_ROWS):
+        part = asked[first : first + QUERY_ROWS]
         tables = quantiser.parts(part - centre)
         far = np.zeros((len(part), len(ids)))
         for i, lookup in enumerate(tables):
             far += lookup[:, codes[:, i]]
-        a, b = np.nonzero(far <= reach[None] ** 2)
-        other = asked_ids[first + a] != ids[b]
-        a, b = a[other], b[other]
-        # The vectors are unit vectors in double precision, so the product is the cosine.
-        linked = np.einsum("ij,ij->i", part[a], vectors[b]) >= threshold
-        a, b = a[linked], b[linked]
+        near = (far <= reach[None] ** 2) & (asked_ids[first : first + len(part), None] != ids[None])
+        a, b = _linked(part, vectors, near, threshold)
         counts[first : first + len(part)] += np.bincount(a, weights=copies[b], minlength=len(part)).astype(np.int64)
-        left.append(place[len(ids) + first + a])
-        right.append(place[b])
-    left, right = np.concatenate(left), np.concatenate(right)
-    roots = tile_roots(left, right, len(nodes))
-    met = np.unique(np.concatenate([left, right]))
+        # Only the components so far are kept, never the links.
+        left, right = place[len(ids) + first + a], place[b]
+        roots = tile_roots(np.concatenate([left, np.arange(len(nodes))]), np.concatenate([right, roots]), len(nodes))
     found = pd.DataFrame({"row": asked_ids, "links": counts, "root": asked_ids})
-    edges = pd.DataFrame({"row": nodes[met], "links": 0, "root": nodes[roots[met]]})
+    edges = pd.DataFrame({"row": nodes, "links": 0, "root": nodes[roots]})
     out = pd.concat([found[found["links"] > 0], edges[edges["row"] != edges["root"]]])
     return out.astype("int64")
 
@@ -211,6 +226,7 @@ def link_vectors(
     quantiser = Quantiser(sample, min(LISTS_MOST, max(1, math.ceil(math.sqrt(total) / 8))))
     index = stage(coded(distinct.select("row", "label", "copies", "vector"), quantiser, width, math.sqrt(2 - 2 * threshold)), "coded")
 
+    tile_rows = min(tile_rows, max(1, TILE_BYTES // (8 * width)))
     where = ["label", "size", "list"]
     probing = index.select("row", "label", "size", F.explode("probes").alias("list"), "vector")
     held = index.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("blocks"))

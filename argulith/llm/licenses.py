@@ -47,7 +47,7 @@ UNKNOWN = 0.2  # a licence that has a name but is not in the table
 EXCEPTION = 0.2  # what an exception adds to its licence
 
 TAGGED = re.compile(r"spdx-license-identifier[ \t]*:[ \t]*([^\r\n]*)")
-TOKEN = re.compile(r"[()]|[a-z0-9.+:-]+")
+TOKEN = re.compile(r"[()]|(?<=[a-z0-9.+)])/(?=[a-z0-9(])|[a-z0-9.+:-]+")
 # Everything but a-z, 0-9 and bytes from 128 on separates words.
 WORD_BYTES = bytes(b if b >= 0x80 or chr(b) in "abcdefghijklmnopqrstuvwxyz0123456789" else 0x20 for b in range(256))
 STRENGTH = {"or": 1, "and": 2, "with": 3}
@@ -89,6 +89,7 @@ def evaluate(expression: str) -> Terms | None:
 
     operand_next = True
     for token in TOKEN.findall(expression):
+        token = "or" if token == "/" else token  # as in mit/apache-2.0
         if token in STRENGTH:
             if operand_next:
                 return None
@@ -102,11 +103,13 @@ def evaluate(expression: str) -> Terms | None:
                 break  # the expression has ended, prose follows
             waiting.append(token)
         elif token == ")":
-            while waiting and waiting[-1] != "(":
+            if operand_next:
+                return None
+            if "(" not in waiting:
+                break  # it closes a bracket of the prose around the expression
+            while waiting[-1] != "(":
                 if not apply(waiting.pop()):
                     return None
-            if operand_next or not waiting:
-                return None
             waiting.pop()
         else:
             if not operand_next:

@@ -277,6 +277,9 @@ def test_op10_equals_plain_counting(spark, sf_dir):
         ("gpl-2.0 with classpath-exception-2.0 and apache-2.0", {"gpl-2", "apache-2"}, 0.6),
         ("apache-2.0+ see the file", {"apache-2"}, 1.0),
         ("made-up-9", {"made-up-9"}, 0.2),
+        ("mit)", {"mit"}, 1.0),
+        ("(mit and gpl-3.0-only)) or so", {"mit", "gpl-3"}, 0.4),
+        ("mit/apache-2.0 // file", {"mit", "apache-2"}, 1.0),
     ],
 )
 def test_expressions(expression, labels, freedom):
@@ -284,7 +287,7 @@ def test_expressions(expression, labels, freedom):
     assert terms.labels == labels and terms.freedom == pytest.approx(freedom)
 
 
-@pytest.mark.parametrize("expression", ["", "and mit", "mit or", "(mit", "mit)", "()", "mit with"])
+@pytest.mark.parametrize("expression", ["", "and mit", "mit or", "mit or)", "(mit", "()", ")", "mit with"])
 def test_what_is_no_expression(expression):
     assert licenses.evaluate(expression) is None
 

@@ -88,6 +88,33 @@ def test_probes_and_codes_exclude_no_neighbour():
         assert far <= radius + errors[i] + embedding_dups.SLACK
 
 
+@pytest.mark.parametrize("noise", [0.0005, 0.02])
+def test_a_dense_tile_of_wide_vectors_stays_small(noise):
+    """Thousands of near copies of 768 components: a few hundred megabytes, and the links of the product."""
+    import tracemalloc
+
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    rows = embedding_dups.unit(rng.normal(size=768) / 768**0.5 + rng.normal(size=(2_048, 768)) * noise)
+    quantiser = embedding_dups.Quantiser(rows[:512], 1)
+    _, codes, errors, _ = quantiser.encode(rows, 0.2)
+    held = [r.tobytes() for r in rows]
+    ids = np.arange(len(rows))
+    members = pd.DataFrame({"row": ids, "copies": 1, "list": 0, "vector": held, "codes": [c.tobytes() for c in codes], "error": errors})
+    queries = pd.DataFrame({"q_row": ids, "q_vector": held})
+    tracemalloc.start()
+    found = embedding_dups.tile_links(members, queries, quantiser, 0.98)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    linked = rows @ rows.T >= 0.98
+    want = {i: int(n) - 1 for i, n in enumerate(linked.sum(axis=1)) if n > 1}
+    got = found[found["links"] > 0]
+    assert dict(zip(got["row"], got["links"])) == want and peak < 250 << 20
+    if noise < 0.001:
+        assert set(found[found["root"] != found["row"]]["root"]) == {0}
+
+
 def plain_top(rows: list[tuple], k: int) -> dict:
     ints = {
         i: [int(np.floor(256 * float(x))) for x in v]
