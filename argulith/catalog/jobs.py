@@ -215,27 +215,41 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- enrichment and training pairs ----------------------------------------------------------------
 
+# Regions hold nations, nations are of a kind and part of their region; the kinds lead on, and in a circle.
+_KINDS = [("nation", "IsA", "place"), ("place", "PartOf", "world"), ("world", "HasPart", "place"), ("world", "IsA", "whole")]
 _EDGES_SQL = """SELECT r_name AS concept, 'HasPart' AS relation, n_name AS target FROM region JOIN nation ON n_regionkey = r_regionkey
-UNION ALL SELECT n_name, 'IsA', 'nation' FROM nation"""
+UNION ALL SELECT n_name, 'PartOf', r_name FROM region JOIN nation ON n_regionkey = r_regionkey
+UNION ALL SELECT n_name, 'IsA', 'nation' FROM nation UNION ALL VALUES {}""".format(
+    ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in _KINDS)
+)
+_DEPTH = 3
 
 
 @query(
     "concept_enrichment",
-    f"""SELECT d.doc_id, coalesce(string_agg(fact, ';' ORDER BY fact), '') AS facts FROM documents d LEFT JOIN (
-    SELECT DISTINCT doc_id, concept || ' ' || relation || ' ' || target AS fact FROM (
-      SELECT doc_id, unnest(list_concat(organizations, locations)) AS concept FROM ({CONCEPTS_SQL})) JOIN ({_EDGES_SQL}) USING (concept)) f
+    f"""WITH RECURSIVE named AS (SELECT doc_id, unnest(list_concat(organizations, locations)) AS root FROM ({CONCEPTS_SQL})),
+    edges AS ({_EDGES_SQL}),
+    reached AS (SELECT DISTINCT root, root AS concept, 0 AS depth FROM named
+      UNION SELECT r.root, e.target, r.depth + 1 FROM reached r JOIN edges e USING (concept) WHERE r.depth < {_DEPTH - 1}),
+    f AS (SELECT DISTINCT doc_id, concept || ' ' || relation || ' ' || target AS fact FROM named JOIN reached USING (root) JOIN edges USING (concept))
+    SELECT d.doc_id, coalesce(string_agg(fact, ';' ORDER BY fact), '') AS facts FROM documents d LEFT JOIN f
     ON f.doc_id = d.doc_id GROUP BY d.doc_id""",
 )
 def concept_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts up to three edges from the concepts of every document."""
     region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
-    parts = region.join(nation, region.r_regionkey == nation.n_regionkey).select(
-        F.col("r_name").alias("concept"), F.lit("HasPart").alias("relation"), F.col("n_name").alias("target")
-    )
-    kinds = nation.select(F.col("n_name").alias("concept"), F.lit("IsA").alias("relation"), F.lit("nation").alias("target"))
+    held = region.join(nation, region.r_regionkey == nation.n_regionkey)
+    edges = [
+        held.select(F.col("r_name").alias("concept"), F.lit("HasPart").alias("relation"), F.col("n_name").alias("target")),
+        held.select(F.col("n_name"), F.lit("PartOf"), F.col("r_name")),
+        nation.select(F.col("n_name"), F.lit("IsA"), F.lit("nation")),
+        spark.createDataFrame(_KINDS, "concept string, relation string, target string"),
+    ]
     named = documents_with_concepts(spark, sf_dir).select(
         "doc_id", F.concat("concepts.organizations", "concepts.locations").alias("names")
     )
-    enriched = hits.concept_enrichment(named, parts.unionByName(kinds), "doc_id", "names")
+    graph = edges[0].union(edges[1]).union(edges[2]).union(edges[3])
+    enriched = hits.concept_enrichment(named, graph, "doc_id", "names", _DEPTH)
     return enriched.select("doc_id", F.array_join("facts", ";").alias("facts"))
 
 

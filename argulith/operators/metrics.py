@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from argulith.session import stage
+
 
 def confusion_matrix(df: DataFrame, label_col: str = "label", pred_col: str = "pred") -> DataFrame:
     """Rows per (label, prediction): the only step that reads the predictions."""
@@ -63,41 +65,22 @@ def weighted_f1(df: DataFrame, label_col: str = "label", pred_col: str = "pred")
 def classification_report(confusion: DataFrame) -> DataFrame:
     """Rows per class, then accuracy, macro average and weighted average.
 
-    The summary rows are grouped out of the class rows, so the predictions are counted once.
+    The class scores are staged, a row per class, so the predictions are counted once.
     """
-    weight = F.col("support")
-
-    def weighted(name: str) -> Column:
-        return F.sum(F.col(name) * weight) / F.sum(weight)
-
-    totals = class_scores(confusion).withColumn(
-        "s", F.struct(F.col("label").cast("string").alias("label"), "precision", "recall", "f1", "support")
-    ).agg(
-        F.collect_list("s").alias("classes"),  # one element per class
-        F.sum("support").alias("support"),
-        (F.sum("tp") / F.sum("support")).alias("accuracy"),
-        *[F.avg(m).alias(f"macro_{m}") for m in ("precision", "recall", "f1")],
-        *[weighted(m).alias(f"weighted_{m}") for m in ("precision", "recall", "f1")],
-    )
-
-    def summary(name: str, precision: str, recall: str, f1: str) -> Column:
-        return F.struct(
-            F.lit(name).alias("label"),
-            F.col(precision).alias("precision"),
-            F.col(recall).alias("recall"),
-            F.col(f1).alias("f1"),
-            F.col("support").alias("support"),
-        )
-
-    rows = F.concat(
-        F.col("classes"),
-        F.array(
-            summary("accuracy", "accuracy", "accuracy", "accuracy"),
-            summary("macro avg", "macro_precision", "macro_recall", "macro_f1"),
-            summary("weighted avg", "weighted_precision", "weighted_recall", "weighted_f1"),
-        ),
-    )
-    return totals.select(F.explode(rows).alias("r")).select("r.*")
+    scores = stage(class_scores(confusion), "class_scores")
+    kinds = ("precision", "recall", "f1")
+    support = F.sum("support").alias("support")
+    share = (F.sum("tp") / F.sum("support")).cast("double")
+    summaries = {
+        "accuracy": [share.alias(m) for m in kinds],
+        "macro avg": [F.avg(m).alias(m) for m in kinds],
+        "weighted avg": [(F.sum(F.col(m) * F.col("support")) / F.sum("support")).alias(m) for m in kinds],
+    }
+    report = scores.select(F.col("label").cast("string").alias("label"), *kinds, "support")
+    for name, columns in summaries.items():
+        summary = scores.agg(*columns, support).filter(F.col("support").isNotNull())
+        report = report.unionByName(summary.withColumn("label", F.lit(name)))
+    return report
 
 
 def best_model(scores: DataFrame, name_col: str = "model", order_col: str = "position", score_col: str = "macro_f1") -> DataFrame:

@@ -100,16 +100,74 @@ def rank_in_class(
     return ranked.withColumn(out, F.col(out) + 1).withColumnRenamed("_total", size)
 
 
+SLOTS = 4_096  # parts of a key's range that are counted at a time
+FEW_ROWS = 10_000  # keys of one part that are sorted by the driver
+
+
+def _cut(keys: DataFrame, n: int) -> tuple[int, int] | None:
+    """The n-th smallest long in the column ``at``, and how many of its rows belong to the first n; None if all do.
+
+    Rows are counted in equal parts of the range of keys, then in the part that holds the cut, and so on
+    until few keys are left: partial sums of one column, whatever n is.
+    """
+    left, inside = n, keys
+    while True:
+        rows, low, high = inside.agg(F.count("at"), F.min("at"), F.max("at")).first()
+        if rows <= left:
+            return None if inside is keys else (high, inside.filter(F.col("at") == high).count())
+        if low == high or left == 0:
+            return low, left
+        if rows <= FEW_ROWS:
+            held = sorted(r[0] for r in inside.collect())
+            return held[left - 1], left - sum(k < held[left - 1] for k in held)
+        width = (high - low) // SLOTS + 1
+        # Whole numbers of 20 digits: the range itself may not fit a long.
+        slot = F.expr(f"cast((cast(at as decimal(20, 0)) - {low}BD) div {width}BD as int)")
+        counts = sorted(tuple(r) for r in inside.groupBy(slot).count().collect())
+        for place, count in counts:
+            if left <= count:
+                break
+            left -= count
+        inside = inside.filter(F.col("at").between(low + place * width, min(high, low + (place + 1) * width - 1)))
+
+
+def _first_rows(df: DataFrame, at: Column, n: int) -> DataFrame:
+    """The first n rows by a long: a filter at the cut, so all other rows stay where they are; rows without a key come last.
+
+    Only rows that share the key at the cut are counted off, when not all of them fit.
+    """
+    if n <= 0:
+        return df.limit(0)
+    keys = df.select(at.alias("at")).filter(F.col("at").isNotNull())
+    found = _cut(keys, n)
+    if found is None:
+        without = df.filter(at.isNull())
+        return df.filter(at.isNotNull()).unionByName(without.limit(n - keys.count())) if not without.isEmpty() else df
+    last, share = found
+    if keys.filter(F.col("at") == last).count() == share:
+        return df.filter(at <= last)
+    return df.filter(at < last).unionByName(df.filter(at == last).limit(share))
+
+
 def sample_n(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
-    """``min(n, rows)`` random rows, the same for the same seed."""
-    return (
-        df.withColumn("_hash", order_hash(id_col, seed)).orderBy("_hash", id_col).limit(n).drop("_hash")
-    )
+    """``min(n, rows)`` random rows in seeded order, the same for the same seed; only hashes are counted.
+
+    The cut is by 60 bits of the seeded hash; of keys whose bits agree, and of repeated keys, any fill the last places.
+    """
+    order = order_hash(id_col, seed)
+    bits = F.conv(F.substring(order, 1, 15), 16, 10).cast("long")
+    return _first_rows(df, bits, n).orderBy(order, id_col)
 
 
 def head_n(df: DataFrame, n: int, id_col: str) -> DataFrame:
-    """The first ``n`` rows by key."""
-    return df.orderBy(id_col).limit(n)
+    """The first ``n`` rows by key, in order; the cut is found by counting keys, or by sorting them where they are no integers."""
+    if df.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long"):
+        return _first_rows(df, F.col(id_col).cast("long"), n).orderBy(F.col(id_col).asc_nulls_last())
+    first = df.select(id_col).orderBy(F.col(id_col).asc_nulls_last()).limit(n)
+    keys = first.groupBy(id_col).agg(F.count(F.lit(1)).alias("_share"))
+    met = df.join(keys, df[id_col].eqNullSafe(keys[id_col]), "inner").drop(keys[id_col])
+    place = Window.partitionBy(id_col).orderBy(F.lit(0))
+    return met.withColumn("_place", F.row_number().over(place)).filter("_place <= _share").drop("_place", "_share").orderBy(id_col)
 
 
 def hash_split(df: DataFrame, id_col: str, seed: int = 42, test: float = 0.1, val: float = 0.1) -> DataFrame:

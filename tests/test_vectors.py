@@ -329,3 +329,19 @@ def test_the_chosen_classifier_is_the_best_on_validation(spark):
     assert scores[0] == 1.0 and scores[1] <= scores[0]
     assert report.first()["accuracy"] == 1.0
     assert chosen.transform(df).filter("pred <> label").count() == 0
+
+
+def test_related_concepts_walk_breadth_first_and_end_in_circles(spark):
+    edges = [("a", "IsA", "b"), ("b", "PartOf", "c"), ("c", "PartOf", "a"), ("c", "IsA", "d"), ("a", "PartOf", "c"), ("d", "IsA", None), ("x", "IsA", "x")]
+    graph = spark.createDataFrame(edges, "concept string, relation string, target string")
+    starts = spark.createDataFrame([("a",), ("x",), ("lost",), ("a",)], "concept string")
+    for depth, want in (
+        (0, {("a", "a", 0), ("x", "x", 0), ("lost", "lost", 0)}),
+        (1, {("a", "a", 0), ("a", "b", 1), ("a", "c", 1), ("x", "x", 0), ("lost", "lost", 0)}),
+        (9, {("a", "a", 0), ("a", "b", 1), ("a", "c", 1), ("a", "d", 2), ("x", "x", 0), ("lost", "lost", 0)}),
+    ):
+        rows = hits.related_concepts(graph, starts, depth).collect()
+        assert len(rows) == len(want) and {tuple(r) for r in rows} == want
+    df = spark.createDataFrame([(1, ["x", "b"]), (2, []), (3, None)], "i int, names array<string>")
+    facts = {r["i"]: r["facts"] for r in hits.concept_enrichment(df, graph, "i", "names", 2).collect()}
+    assert facts == {1: ["b PartOf c", "c IsA d", "c PartOf a", "x IsA x"], 2: [], 3: []}
