@@ -30,6 +30,7 @@ from argulith.catalog.base import (
 )
 from argulith.functions import entities, explain, text as tx
 from argulith.functions.udfs import map_texts, map_with_setup
+from argulith.operators import names
 
 _PAGES = "SELECT page_id, md5({}) AS text_md5, length({}) AS n FROM pages"
 
@@ -84,11 +85,14 @@ def clean_text_cased(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages(spark, sf_dir, tx.clean_text_cased)
 
 
-def gazetteer(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
-    return {
-        "GPE": entities.word_list(table(spark, sf_dir, "nation"), "n_name"),
-        "LOC": entities.word_list(table(spark, sf_dir, "region"), "r_name"),
-    }
+def _listed(spark: SparkSession, sf_dir: str, kinds: dict[str, tuple[str, str]]) -> DataFrame:
+    """Names of several tables, each of a kind: ``(name, kind)``."""
+    tables = [table(spark, sf_dir, source).select(F.col(name).alias("name"), F.lit(kind).alias("kind")) for kind, (source, name) in kinds.items()]
+    return tables[0].unionByName(tables[1])
+
+
+def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _listed(spark, sf_dir, {"GPE": ("nation", "n_name"), "LOC": ("region", "r_name")})
 
 
 def _re2(pattern: str) -> str:
@@ -111,10 +115,8 @@ def masked_sql(x: str) -> str:
 
 @query("mask_entities", f"SELECT doc_id, md5({masked_sql('t')}) AS text_md5, length({masked_sql('t')}) AS n FROM (SELECT doc_id, {clean_sql('text')} AS t FROM ({ENTITIES_SQL}))")
 def mask_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = tx.clean_text(F.col("text"))
-    masked = documents_with_entities(spark, sf_dir).select(
-        "doc_id", entities.mask_entities(cleaned, gazetteer(spark, sf_dir)).alias("t")
-    )
+    cleaned = documents_with_entities(spark, sf_dir).select("doc_id", tx.clean_text(F.col("text")).alias("t"))
+    masked = names.mask_names(cleaned, gazetteer(spark, sf_dir), "doc_id", "t")
     return masked.select("doc_id", F.md5("t").alias("text_md5"), F.length("t").cast("long").alias("n"))
 
 
@@ -224,17 +226,13 @@ CONCEPTS_SQL = f"""SELECT *, CASE WHEN len(persons0) > 0 THEN persons0 ELSE ['{f
 _CONCEPT_LISTS = ["persons", "organizations", "locations", "dates", "clauses", "topics"]
 
 
-def concept_names(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
+def concept_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions stand in for organizations, nations are the places."""
-    return {
-        "ORG": entities.word_list(table(spark, sf_dir, "region"), "r_name"),
-        "GPE": entities.word_list(table(spark, sf_dir, "nation"), "n_name"),
-    }
+    return _listed(spark, sf_dir, {"ORG": ("region", "r_name"), "GPE": ("nation", "n_name")})
 
 
 def documents_with_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    concepts = entities.extract_concepts(F.col("text"), concept_names(spark, sf_dir))
-    return documents_with_entities(spark, sf_dir).withColumn("concepts", concepts)
+    return names.concepts_with_names(documents_with_entities(spark, sf_dir), concept_names(spark, sf_dir), "doc_id")
 
 
 @query(

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from argulith.functions.entities import mask_entities
 from argulith.functions.text import clean_text, longer_than, null_text_to_empty
 from argulith.operators.dedup import dedup_exact, union_sources
 from argulith.operators.labels import canonical_label, encode_label, label_index
+from argulith.operators.names import masked
 from argulith.operators.ranking import number_rows, stratified_split
 from argulith.session import stage
 from argulith.sources.readers import read_csv, resolve_sources, scan_csv
@@ -29,7 +29,7 @@ def load_sources(spark: SparkSession, sources: list[tuple[str, str, str]], multi
 
 
 def clean_labelled(
-    sources: list[DataFrame], names: dict[str, list[str]] | None = None, min_chars: int = 50, normalise: bool = True
+    sources: list[DataFrame], names: DataFrame | dict[str, list[str]] | None = None, min_chars: int = 50, normalise: bool = True
 ) -> DataFrame:
     """Sources ``(doc_id, text, raw_label)`` with keys unique over all of them, as ``(doc_id, text, label)``.
 
@@ -43,12 +43,12 @@ def clean_labelled(
     ]
     # A copy is as long as its original, so dropping short texts first saves their shuffle.
     kept = dedup_exact(union_sources(*mapped).filter(longer_than(F.col("text"), min_chars)))
-    return kept.withColumn("text", mask_entities(clean_text(F.col("text"), normalise), names))
+    return masked(kept.withColumn("text", clean_text(F.col("text"), normalise)), names, "doc_id", "text")
 
 
 def prepare_dataset(
     sources: list[DataFrame],
-    names: dict[str, list[str]] | None = None,
+    names: DataFrame | dict[str, list[str]] | None = None,
     seed: int = 42,
     min_chars: int = 50,
     normalise: bool = True,
