@@ -36,3 +36,29 @@ def stream_score(
     writer = scoring(requests).writeStream.format("parquet").option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=wait) if wait else writer.trigger(availableNow=True)
     return writer.start(out)
+
+
+def answer_requests(
+    requests: DataFrame, answer: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
+    key: str = "request_id", asked: str = "asked_at", late: str = "1 hour", wait: str | None = None,
+) -> StreamingQuery:
+    """One answer per request: ``answer`` turns a micro-batch of requests into rows, which go to ``out`` by batch.
+
+    A request that is repeated while its time is no more than ``late`` behind the newest is answered once; rows
+    without a key count as one request. ``answer`` is any batch plan, joins and searches included. A
+    micro-batch replaces its own folder, so one that runs again after a failure changes nothing. Read with
+    ``answers``. Ends when it has taken what is there, unless ``wait`` names an interval.
+    """
+    once = requests.withWatermark(asked, late).dropDuplicatesWithinWatermark([key])
+
+    def write(batch: DataFrame, number: int) -> None:
+        answer(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    writer = once.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=wait) if wait else writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def answers(spark: SparkSession, out: str) -> DataFrame:
+    """All answers so far, with the ``batch`` that gave them."""
+    return spark.read.parquet(out)
