@@ -4,6 +4,11 @@ A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; it is written a
 again as the next one's ``docs``. All but the last return the columns of ``docs``. SQL cannot express
 the first, third and last stage, so there is no oracle; the tests hold every stage against
 brute force.
+
+In every stage a null text counts as empty, very long texts are whole, an empty table gives no rows and other
+columns pass through. Empty texts are scored, mixed (size 0) and encoded (no ids) like any other; SimHash keeps
+one of them. Rows without an id keep their place in all stages but count as one key where a smallest id decides
+between equals; repeated rows are scored and encoded one by one, and SimHash keeps one of them.
 """
 
 from __future__ import annotations
