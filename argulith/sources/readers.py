@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from argulith.operators.labels import project_text_label
 from argulith.operators.ranking import number_rows
+from argulith.sources.split_csv import read_split_csv
 
 PASSAGE_SCHEMA = "id long, text string, text_normalized string, question string, type string"
 
@@ -24,10 +25,11 @@ TAXONOMY_COLUMNS = {
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header and doubled quotes; cells may span lines.
 
-    A file whose cells may span lines is read by one task. Give many files, or set
-    ``multi_line=False`` where no cell has a line break and large files shall be split.
+    Large files are split either way; ``multi_line=False`` saves one of two passes where no cell has a line break.
     """
-    return spark.read.csv(path, header=True, multiLine=multi_line, escape='"', inferSchema=False)
+    if multi_line:
+        return read_split_csv(spark, path)
+    return spark.read.csv(path, header=True, escape='"', inferSchema=False)
 
 
 def scan_csv(spark: SparkSession, path: str, text_col: str, label_col: str, multi_line: bool = True) -> DataFrame:
