@@ -140,21 +140,36 @@ def query_corpus_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.select("query_id", "n", six("mean_score").alias("mean_score"), six("max_score").alias("max_score"), "n_above")
 
 
-def _class_centres(embeddings: DataFrame) -> list[list[float]]:
-    """Class centroids as cell centres: a rule that SQL can follow, unlike k-means."""
-    return classify.centroid_scorer(embeddings).weights.tolist()
-
-
-# Cell n is the n-th class in order; its centre is the centroid of the class.
-_NEAREST_SQL = f"""SELECT vec_id, (dense_rank() OVER (ORDER BY class) - 1)::INTEGER AS cell,
-row_number() OVER (PARTITION BY vec_id ORDER BY logit DESC, class) AS r FROM ({LOGITS_SQL})"""
-CELLS_SQL = f"SELECT vec_id, cell FROM ({_NEAREST_SQL}) WHERE r = 1"
+# Cells as `sampled_cells` makes them: seeds in hash order, a sample put to the nearest seed, centres along the sums.
+CELL_CTES = """v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+wanted AS (SELECT least(65536, count(*), ceil(4 * sqrt(count(*))))::INTEGER AS n FROM v),
+placed AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || vec_id), vec_id) AS place FROM v),
+seeds AS (SELECT (place - 1)::INTEGER AS cell, v AS c FROM placed, wanted WHERE place <= n),
+members AS (SELECT cell, v FROM (SELECT cell, v, row_number() OVER (PARTITION BY vec_id ORDER BY round(list_dot_product(v, c), 12) DESC, cell) AS r
+  FROM placed, seeds, wanted WHERE place <= 16 * n) WHERE r = 1 UNION ALL SELECT cell, c FROM seeds),
+sums AS (SELECT cell, pos, sum(x) AS x FROM (SELECT cell, generate_subscripts(v, 1) AS pos, unnest(v) AS x FROM members) GROUP BY cell, pos),
+centres AS (SELECT cell, list(x / length ORDER BY pos) AS c FROM (SELECT *, sqrt(sum(x * x) OVER (PARTITION BY cell)) AS length FROM sums) GROUP BY cell),
+near AS (SELECT vec_id, cell, row_number() OVER (PARTITION BY vec_id ORDER BY round(list_dot_product(v, c), 12) DESC, cell) AS r FROM v, centres),
+cells AS (SELECT vec_id, cell FROM near WHERE r = 1)"""
+CELLS_SQL = f"WITH {CELL_CTES} SELECT vec_id, cell FROM cells"
+
+
+def _probed_ctes(k: int) -> str:
+    """Exact hits, the number of cells that finds 92 % of those of 200 queries, and the hits in the cells probed."""
+    return f"""{CELL_CTES}, ranked AS ({RANKED_SQL}), exact AS (SELECT * FROM ranked WHERE rank <= {k}),
+    asked AS (SELECT vec_id FROM v ORDER BY md5('43:' || vec_id), vec_id LIMIT 200),
+    places AS (SELECT n.r, row_number() OVER (ORDER BY n.r) AS i, count(*) OVER () AS n_hits FROM exact e JOIN asked a ON a.vec_id = e.query_id
+      JOIN cells c ON c.vec_id = e.id JOIN near n ON n.vec_id = e.query_id AND n.cell = c.cell),
+    probing AS (SELECT max(r) AS nprobe FROM places WHERE i <= ceil(0.92 * n_hits)),
+    probes AS (SELECT vec_id, cell FROM near, probing WHERE r <= nprobe),
+    seen AS (SELECT r.query_id, r.id, r.score, row_number() OVER (PARTITION BY r.query_id ORDER BY r.score DESC, r.id) AS rank
+      FROM ranked r JOIN cells c ON c.vec_id = r.id JOIN probes p ON p.vec_id = r.query_id AND p.cell = c.cell)"""
 
 
 def stored_cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[list[float]]]:
-    """The embeddings by cell, written and read back."""
+    """The embeddings by cell, written and read back; cells follow the number of vectors."""
     embeddings = _embeddings(spark, sf_dir)
-    centres = _class_centres(embeddings)
+    centres = search.sampled_cells(embeddings, search.cells_for(embeddings.count()))
     path = scratch_path(spark, "index")
     stores.save_index(search.assign_cells(embeddings, centres), path)
     return stores.load_index(spark, path), centres
@@ -162,32 +177,31 @@ def stored_cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[list
 
 @query(
     "recall_at_k",
-    f"""WITH cells AS ({CELLS_SQL}), probes AS (SELECT vec_id, cell FROM ({_NEAREST_SQL}) WHERE r <= 3),
-    ranked AS ({RANKED_SQL}),
-    seen AS (SELECT r.query_id, r.id, row_number() OVER (PARTITION BY r.query_id ORDER BY r.score DESC, r.id) AS rank
-      FROM ranked r JOIN cells c ON c.vec_id = r.id JOIN probes p ON p.vec_id = r.query_id AND p.cell = c.cell)
-    SELECT round(count(s.id) / count(*)::DOUBLE, 6) AS recall FROM (SELECT * FROM ranked WHERE rank <= 10) e
-    LEFT JOIN (SELECT * FROM seen WHERE rank <= 10) s ON s.query_id = e.query_id AND s.id = e.id""",
+    f"""WITH {_probed_ctes(10)}
+    SELECT round(count(s.id) / count(*)::DOUBLE, 6) AS recall, (SELECT nprobe FROM probing) AS nprobe,
+      (SELECT round(count(*) / ((SELECT count(*) FROM v) * (SELECT count(*) FROM v))::DOUBLE, 6) FROM probes JOIN cells USING (cell)) AS share_read
+    FROM exact e LEFT JOIN (SELECT * FROM seen WHERE rank <= 10) s ON s.query_id = e.query_id AND s.id = e.id""",
 )
 def recall_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a search in as many cells as sampled queries need: the recall for all queries and the part of the pairs read."""
     embeddings = _embeddings(spark, sf_dir)
     cells, centres = stored_cells(spark, sf_dir)
-    approximate = search.ivf_topk(embeddings, cells, centres, 10, nprobe=3)
-    return search.recall_at_k(approximate, search.exact_topk(embeddings, embeddings, 10)).select(six("recall").alias("recall"))
+    nprobe = search.nprobe_for(embeddings, cells, centres, 10)
+    approximate = search.ivf_topk(embeddings, cells, centres, 10, nprobe)
+    recall = search.recall_at_k(approximate, search.exact_topk(embeddings, embeddings, 10))
+    read = search.share_read(embeddings, cells, centres, nprobe).first()["share_read"]
+    return recall.select(
+        six("recall").alias("recall"), F.lit(nprobe).cast("long").alias("nprobe"), six(F.lit(read)).alias("share_read")
+    )
 
 
-@query(
-    "ivf_topk",
-    f"""WITH cells AS ({CELLS_SQL}), probes AS (SELECT vec_id, cell FROM ({_NEAREST_SQL}) WHERE r <= 4)
-    SELECT query_id, id, round(score, 6) + 0.0 AS score, rank FROM (
-      SELECT r.*, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank
-      FROM ({PAIRS_SQL}) r JOIN cells c ON c.vec_id = r.id JOIN probes p ON p.vec_id = r.query_id AND p.cell = c.cell)
-    WHERE rank <= 5""",
-)
+@query("ivf_topk", f"WITH {_probed_ctes(5)} SELECT query_id, id, round(score, 6) + 0.0 AS score, rank FROM seen WHERE rank <= 5")
 def ivf_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells by class, which SQL can follow; the tests do the same with k-means cells."""
+    """The five nearest of the vectors in the cells probed; the number of cells follows a recall on sampled queries."""
+    embeddings = _embeddings(spark, sf_dir)
     cells, centres = stored_cells(spark, sf_dir)
-    found = search.ivf_topk(_embeddings(spark, sf_dir), cells, centres, 5, nprobe=4)
+    nprobe = search.nprobe_for(embeddings, cells, centres, 5)
+    found = search.ivf_topk(embeddings, cells, centres, 5, nprobe)
     return found.select("query_id", "id", six("score").alias("score"), F.col("rank").cast("long").alias("rank"))
 
 

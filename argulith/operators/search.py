@@ -8,6 +8,7 @@ searched block after block.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from argulith.functions.vectors import as_double, matrix_of
+from argulith.operators.bounded import broadcast_bounded
+from argulith.operators.ranking import sample_n
 from argulith.session import scratch_path, stage
 
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
@@ -335,6 +338,75 @@ def train_cells(
     return [centre.tolist() for centre in model.clusterCenters()]
 
 
+def cells_for(rows: int, per_root: int = 4, most: int = 65_536) -> int:
+    """How many cells a corpus gets: a multiple of the root of its rows, so cells and their number grow alike."""
+    return max(1, min(most, rows, math.ceil(per_root * math.sqrt(rows))))
+
+
+def sampled_cells(
+    corpus: DataFrame, n_cells: int, id_col: str = "vec_id", vector: str = "embedding", seed: int = 42, per_cell: int = 16
+) -> list[list[float]]:
+    """Cell centres from a bounded sample: unit vectors, at most ``n_cells``.
+
+    The first ``n_cells`` vectors in seeded hash order are seeds. Each of the first ``per_cell * n_cells`` goes to the seed
+    with the largest inner product, the smaller one of equal seeds; a centre is the direction of the sum of a seed and what went to
+    it. The sample is all that the driver holds, and the corpus is read once, where ``train_cells`` reads it many times.
+    """
+    usable = corpus.filter(F.col(vector).isNotNull()).select(id_col, as_double(F.col(vector)).alias("vector"))
+    sample = matrix_of(sample_n(usable, per_cell * n_cells, id_col, seed).toArrow()["vector"])
+    seeds = sample[:n_cells]
+    sums = seeds.copy()
+    for at in range(0, len(sample), _PRODUCT_ROWS):
+        some = sample[at : at + _PRODUCT_ROWS]
+        np.add.at(sums, np.round(some @ seeds.T, SCORE_PLACES).argmax(axis=1), some)
+    lengths = np.linalg.norm(sums, axis=1, keepdims=True)
+    return (sums / np.where(lengths == 0, 1, lengths)).tolist()
+
+
+def nprobe_for(
+    queries: DataFrame,
+    cells: DataFrame,
+    centres: list[list[float]],
+    k: int,
+    recall: float = 0.92,
+    sample: int = 200,
+    query_id: str = "vec_id",
+    corpus_id: str = "vec_id",
+    vector: str = "embedding",
+    seed: int = 43,
+) -> int:
+    """The fewest cells to probe that find a share ``recall`` of the exact hits of sampled queries.
+
+    An exact hit is found as soon as its cell is probed, so the place of its cell among those of the query is all that counts. The sample
+    is searched exactly, once; the places are counted, at most a number per cell.
+    """
+    asked = stage(sample_n(queries.filter(F.col(vector).isNotNull()).select(query_id, vector), sample, query_id, seed), "asked")
+    hits = exact_topk(asked, cells, k, query_id, corpus_id, vector).select("query_id", "id")
+    order = nearest_cells(asked, centres, len(centres), vector, "_order").select(F.col(query_id).cast("long").alias("query_id"), "_order")
+    where = cells.select(F.col(corpus_id).cast("long").alias("id"), "cell")
+    found = where.join(broadcast_bounded(hits, sample * k), "id").join(order, "query_id")
+    places = dict(tuple(r) for r in found.groupBy(F.array_position("_order", F.col("cell"))).count().collect())
+    wanted = math.ceil(recall * sum(places.values()) - 1e-9)
+    for place in sorted(places):
+        wanted -= places[place]
+        if wanted <= 0:
+            return int(place)
+    return 1  # no hits, nothing to find
+
+
+def share_read(
+    queries: DataFrame, cells: DataFrame, centres: list[list[float]], nprobe: int, vector: str = "embedding"
+) -> DataFrame:
+    """``share_read``: the part of all query and passage pairs that a search of ``nprobe`` cells multiplies."""
+    sizes = cells.filter(F.col("cell").isNotNull()).groupBy("cell").agg(F.count(F.lit(1)).alias("held"))
+    probing = nearest_cells(queries.filter(F.col(vector).isNotNull()), centres, min(nprobe, len(centres)), vector)
+    probed = probing.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("asked"))
+    pairs = sizes.join(probed, "cell", "outer").agg(  # cells may be empty
+        F.sum(F.col("held") * F.coalesce("asked", F.lit(0))).alias("met"), F.sum("held").alias("held"), F.sum("asked").alias("asked")
+    )
+    return pairs.select((F.col("met") / F.col("held") / (F.col("asked") / nprobe)).alias("share_read"))
+
+
 def nearest_cells(df: DataFrame, centres: list[list[float]], n: int, vector: str = "embedding", out: str = "cells") -> DataFrame:
     """Add the ``n`` cells whose centres have the largest inner product with the vector; null without one."""
     table = np.asarray(centres, dtype=np.float64)
@@ -342,7 +414,7 @@ def nearest_cells(df: DataFrame, centres: list[list[float]], n: int, vector: str
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def nearest(vectors: pa.Array) -> pa.Array:
         missing = vectors.is_null().to_numpy(zero_copy_only=False)
-        scores = matrix_of(vectors.drop_null(), table.shape[1]) @ table.T
+        scores = np.round(matrix_of(vectors.drop_null(), table.shape[1]) @ table.T, SCORE_PLACES)
         best = scores.argmax(axis=1)[:, None] if n == 1 else np.argsort(-scores, axis=1, kind="stable")[:, :n]
         lengths = np.where(missing, 0, best.shape[1])
         offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)

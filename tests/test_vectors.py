@@ -153,6 +153,37 @@ def test_all_cells_probed_is_exact_and_fewer_cells_lose_little(spark):
     assert recalls == sorted(recalls) and recalls[0] < 1 and recalls[-1] == 1.0
 
 
+def test_cells_probed_follow_the_recall_wanted(spark, tmp_path):
+    points, df = vectors(spark, 600, hot=True)
+    centres = search.sampled_cells(df, search.cells_for(600))
+    assert len(centres) == 98 and np.allclose(np.linalg.norm(centres, axis=1), 1)
+    search.assign_cells(df, centres).write.partitionBy("cell").parquet(str(tmp_path / "cells"))
+    cells = spark.read.parquet(str(tmp_path / "cells"))
+    exact = search.exact_topk(df, df, 5)
+    wanted = {}
+    for recall in (0.5, 0.9, 1.0):  # all rows are asked, so the recall is exact
+        wanted[recall] = search.nprobe_for(df, cells, centres, 5, recall, sample=600)
+        got, before = (
+            search.recall_at_k(search.ivf_topk(df, cells, centres, 5, n), exact).first()["recall"] for n in (wanted[recall], max(1, wanted[recall] - 1))
+        )
+        assert got >= recall and (before < recall or wanted[recall] == 1)
+    assert wanted[0.5] < wanted[0.9] < wanted[1.0]
+    cell = dict(tuple(r) for r in cells.select("vec_id", "cell").collect())
+    order = np.argsort(-np.round(points @ np.array(centres).T, 12), axis=1, kind="stable")[:, : wanted[0.9]]
+    met = sum((np.array(list(cell.values()))[:, None] == row).sum() for row in order)
+    assert search.share_read(df, cells, centres, wanted[0.9]).first()["share_read"] == pytest.approx(met / 600**2)
+
+
+def test_cells_of_tiny_and_empty_tables(spark):
+    _, df = vectors(spark, 3)
+    centres = search.sampled_cells(df, search.cells_for(3))
+    cells = search.assign_cells(df, centres)
+    assert len(centres) == 3 and search.nprobe_for(df, cells, centres, 5) <= 3
+    assert search.nprobe_for(df.limit(0), cells, centres, 5) == 1
+    rows = spark.createDataFrame([(1, None), (2, [1.0, 0.0]), (3, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    assert search.sampled_cells(rows, 2) == [[1.0, 0.0], [1.0, 0.0]]
+
+
 def test_vector_columns(spark):
     df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "v array<float>")
     unit, zero = [r[0] for r in df.select(vx.l2_normalize(F.col("v"))).collect()]
