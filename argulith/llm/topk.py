@@ -1,23 +1,25 @@
 """Exact top-k by inner product of integer vectors: exhaustive, term at a time.
 
-Candidates stand in chunks, queries in blocks; a tile is a block against a chunk. In a tile every
-dimension (term) has a posting list of candidates and weights. A query's non-zero components scatter
-their weighted postings into one dense array of scores, a partition picks the k best, and tiles'
-winners are merged. No pair of rows ever leaves a tile.
+Candidates are dealt once and stay where they are; a block of queries at a time is sent to all of them. A task takes
+its candidates in chunks, in each of which every dimension (term) has a posting list of candidates and weights. A
+query's non-zero components scatter their weighted postings into one dense array of scores, a partition picks the k best,
+and the winners of chunks and of tasks are merged. No pair of rows ever leaves a task but k per query.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from argulith.llm.common import query, table
-from argulith.session import stage
+from argulith.session import scratch_path, stage
 
 CHUNK_ROWS = 32_768
-BLOCK_ROWS = 2_048
+BLOCK_BYTES = 64 * 1024 * 1024  # of a block's queries and of the hits that a task holds for them
 
 
 def scaled(vector: Column) -> Column:
@@ -61,8 +63,26 @@ def best(scores: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([above, np.flatnonzero(scores == bound)[: k - len(above)]])
 
 
+def _chunks(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """Batches put together until they have about ``rows`` rows, in the order of ids."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= rows:
+            yield pd.concat(held).sort_values("vec_id", kind="stable")
+            held = []
+    if sum(map(len, held)):
+        yield pd.concat(held).sort_values("vec_id", kind="stable")
+
+
+def _merge(ids: np.ndarray, scores: np.ndarray, more_ids: np.ndarray, more_scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    ids, scores = np.concatenate([ids, more_ids]), np.concatenate([scores, more_scores])
+    order = np.lexsort((ids, ~scores))[:k]  # ~s falls as s grows, without overflow
+    return ids[order], scores[order]
+
+
 def top_k(
-    vectors: DataFrame, queries: DataFrame, k: int = 5, chunk_rows: int = CHUNK_ROWS, block_rows: int = BLOCK_ROWS
+    vectors: DataFrame, queries: DataFrame, k: int = 5, chunk_rows: int = CHUNK_ROWS, block_rows: int | None = None
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k rows of ``vectors`` with the highest inner products.
 
@@ -71,49 +91,66 @@ def top_k(
     different lengths are compared as if the shorter one ended in zeros; sums wrap like longs.
     Rows with a null id or vector take no part. Repeated candidates are returned each; a
     repeated query is answered once per row. Empty tables give no rows.
+
+    Candidates are shuffled once, whatever the number of blocks; what is sent is a block of queries, about
+    ``block_rows`` of them, by default as many as fit ``BLOCK_BYTES``. Blocks follow one another and append their hits to a table.
     """
     usable = F.col("vec_id").isNotNull() & F.col("ints").isNotNull()
-    row = F.monotonically_increasing_id()
-    asked = stage(queries.filter(usable).select("vec_id", "ints").withColumn("row", row), "asked")
-    held = stage(vectors.filter(usable).select("vec_id", "ints").withColumn("row", row), "held")
     spark = vectors.sparkSession
+    asked = queries.filter(usable).select("vec_id", "ints").withColumn("row", F.monotonically_increasing_id())
+    asked = stage(asked, "asked")
+    held = vectors.filter(usable).select("vec_id", "ints")
     chunks = max(-(-held.count() // chunk_rows), spark.sparkContext.defaultParallelism)
-    blocks = max(1, -(-asked.count() // block_rows))
-
-    def dealt(parts: int) -> Column:
-        return F.pmod(F.xxhash64("row"), F.lit(parts))
-
-    def every(parts: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<bigint>"))
-
-    left = held.withColumn("chunk", dealt(chunks)).withColumn("block", every(blocks)).drop("row")
-    right = asked.withColumn("block", dealt(blocks)).withColumn("chunk", every(chunks))
-
-    def tile(candidates: pd.DataFrame, searches: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        candidates = candidates.sort_values("vec_id", kind="stable")
-        ids = candidates["vec_id"].to_numpy()
-        lists = postings([np.asarray(v, dtype=np.int64) for v in candidates["ints"]])
-        scores = np.zeros(len(ids), dtype=np.int64)
-        for query_id, query_row, ints in zip(searches["vec_id"], searches["row"], searches["ints"]):
-            accumulate(np.asarray(ints, dtype=np.int64), lists, scores)
-            first, last = np.searchsorted(ids, query_id), np.searchsorted(ids, query_id, "right")
-            others = np.delete(scores, slice(first, last)) if last > first else scores
-            at = best(others, k)
-            at = at + (at >= first) * (last - first)  # as if the own rows had not been taken out
-            found.append(
-                pd.DataFrame({"query_id": query_id, "query_row": query_row, "vec_id": ids[at], "score": scores[at]})
+    held = stage(held.repartition(chunks), "held")
+    rows, width = asked.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("ints")), F.lit(0))).first()
+    blocks = -(-rows // (block_rows or max(1, BLOCK_BYTES // (8 * (width + 2 * k + 2)))))
+    if blocks > 1:
+        asked = stage(asked.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")), "asked", "block")
+    schema = "query_id long, query_row long, vec_id long, score long"
+    path = scratch_path(spark, "found")
+    spark.createDataFrame([], schema).write.parquet(path)
+    for n in range(blocks):
+        some = (asked.filter(F.col("block") == n) if blocks > 1 else asked).select("vec_id", "row", "ints").toPandas()
+        block = spark.sparkContext.broadcast(
+            (some["vec_id"].to_numpy(np.int64), some["row"].to_numpy(np.int64), [np.asarray(v, dtype=np.int64) for v in some["ints"]])
+        )
+        _search(held, block, k, chunk_rows, schema).write.mode("append").parquet(path)
+        block.destroy()
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
+    found = spark.read.schema(schema).parquet(path).withColumn("rank", F.row_number().over(order))
+    return found.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _search(held: DataFrame, block, k: int, chunk_rows: int, schema: str) -> DataFrame:
+    """The k best of every task's candidates for each query of the block that was sent."""
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        query_ids, query_rows, vectors = block.value
+        none = np.empty(0, dtype=np.int64)
+        kept = [(none, none)] * len(vectors)
+        for candidates in _chunks(batches, chunk_rows):
+            ids = candidates["vec_id"].to_numpy(np.int64)
+            lists = postings([np.asarray(v, dtype=np.int64) for v in candidates["ints"]])
+            scores = np.zeros(len(ids), dtype=np.int64)
+            for n, (query_id, ints) in enumerate(zip(query_ids, vectors)):
+                accumulate(ints, lists, scores)
+                first, last = np.searchsorted(ids, query_id), np.searchsorted(ids, query_id, "right")
+                others = np.delete(scores, slice(first, last)) if last > first else scores
+                at = best(others, k)
+                at = at + (at >= first) * (last - first)  # as if the own rows had not been taken out
+                kept[n] = _merge(*kept[n], ids[at], scores[at], k)
+        sizes = [len(ids) for ids, _ in kept]
+        if sum(sizes):
+            yield pd.DataFrame(
+                {
+                    "query_id": np.repeat(query_ids, sizes),
+                    "query_row": np.repeat(query_rows, sizes),
+                    "vec_id": np.concatenate([ids for ids, _ in kept]),
+                    "score": np.concatenate([scores for _, scores in kept]),
+                }
             )
-        columns = ["query_id", "query_row", "vec_id", "score"]
-        return pd.concat(found) if found else pd.DataFrame(columns=columns, dtype="int64")
 
-    by = ["chunk", "block"]
-    parts = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
-        tile, "query_id long, query_row long, vec_id long, score long"
-    )
-    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
-    ranked = parts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return held.mapInPandas(search, schema)
 
 
 OP7_SQL = """
