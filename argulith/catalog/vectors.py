@@ -125,7 +125,7 @@ RANKED_SQL = f"SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score
 def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest of all vectors, for every vector."""
     embeddings = _embeddings(spark, sf_dir)
-    found = search.exact_topk(embeddings, embeddings, 5)
+    found = search.exact_topk(embeddings, embeddings, 5, first_share=1 / 64)
     return found.select("query_id", "id", six("score").alias("score"), F.col("rank").cast("long").alias("rank"))
 
 

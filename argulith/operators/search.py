@@ -53,8 +53,8 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 class _Block:
     """One query block inside a task: the running k best of every query."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
-        self.ids, self.vectors, self.k = ids, vectors, k
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, floor: tuple[np.ndarray, np.ndarray] | None = None):
+        self.ids, self.vectors, self.k, self.floor = ids, vectors, k, floor
         self.scores = np.full((len(ids), k), -np.inf)
         self.hits = np.zeros((len(ids), k), dtype=np.int64)
 
@@ -100,6 +100,9 @@ class _Block:
 
     def batch(self) -> pa.RecordBatch:
         real = np.isfinite(self.scores)
+        if self.floor is not None:
+            least, last = (part[:, None] for part in self.floor)
+            real &= (self.scores > least) | ((self.scores > least - 2 * _ROUNDING) & (self.hits <= last))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.repeat(self.ids, real.sum(axis=1)), pa.int64()),
@@ -246,9 +249,22 @@ def _in_blocks(
 _HIT = "query_id long, id long, score double"
 
 
-def _search(queries: DataFrame, corpus: DataFrame, k: int, by_cell: bool, block_bytes: int) -> DataFrame:
+def _floors(passages: DataFrame, block: pa.Table, k: int, share: float, by_cell: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Per query of a block, score and key of the k-th best in a share of the passages; the k-th best of all is no worse."""
+    first = passages.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    shared: list = []
+    last = topk_per_query(_product(first, block, partial(_Block, k=k), _HIT, by_cell, shared), k).filter(F.col("rank") == k)
+    known = {r["query_id"]: (r["score"], r["id"]) for r in last.collect()}
+    for sent in shared:
+        sent.destroy()
+    of_query = [known.get(q, (-np.inf, 0)) for q in block["query_id"].to_pylist()]
+    return np.array([score for score, _ in of_query]), np.array([key for _, key in of_query], dtype=np.int64)
+
+
+def _search(queries: DataFrame, corpus: DataFrame, k: int, by_cell: bool, block_bytes: int, first_share: float = 0.0) -> DataFrame:
     def run(passages: DataFrame, block: pa.Table, shared: list) -> DataFrame:
-        return topk_per_query(_product(passages, block, partial(_Block, k=k), _HIT, by_cell, shared), k)
+        floor = _floors(passages, block, k, first_share, by_cell) if first_share else None
+        return topk_per_query(_product(passages, block, partial(_Block, k=k, floor=floor), _HIT, by_cell, shared), k)
 
     return _in_blocks(queries, corpus, run, f"{_HIT}, rank int", block_bytes, 2 * k, by_cell)
 
@@ -313,13 +329,16 @@ def exact_topk(
     corpus_id: str = "vec_id",
     vector: str = "embedding",
     block_bytes: int = QUERY_BLOCK_BYTES,
+    first_share: float = 0.0,
 ) -> DataFrame:
     """``(query_id, id, score, rank)`` of the k passages with the largest inner product.
 
-    Exact, so the arithmetic is queries times passages; ``ivf_topk`` prunes it.
+    Exact, so the arithmetic is queries times passages; ``ivf_topk`` prunes it. Every task finds k hits per query. With a
+    ``first_share``, that part of the passages is searched first, and only hits that reach its k-th best leave a task:
+    about ``k / first_share`` per query in all, however many tasks there are. For stored passages in many tasks.
     """
     return _search(
-        _as_queries(queries, query_id, vector), _as_passages(corpus, corpus_id, vector), k, False, block_bytes
+        _as_queries(queries, query_id, vector), _as_passages(corpus, corpus_id, vector), k, False, block_bytes, first_share
     )
 
 

@@ -63,6 +63,19 @@ def test_cells_in_many_blocks_read_only_near_cells(spark, tmp_path):
     assert found(blocks) == found(whole)
 
 
+def test_hits_below_those_of_a_first_share_stay_in_their_task(spark, monkeypatch):
+    points, df = vectors(spark, 1_200, hot=True)
+    sent = []
+    ranked = search.topk_per_query
+    monkeypatch.setattr(search, "topk_per_query", lambda hits, *args: sent.append(hits.count()) or ranked(hits, *args))
+    assert found(search.exact_topk(df, df.repartition(40), 5, first_share=1 / 8)) == brute(points, points, 5)
+    assert found(search.exact_topk(df, df.repartition(40), 5)) == brute(points, points, 5)
+    first, bounded, unbounded = sent
+    assert unbounded == 1_200 * 40 * 5 and bounded < unbounded / 4
+    few = df.limit(3)
+    assert found(search.exact_topk(df, few, 5, first_share=1 / 8)) == found(search.exact_topk(df, few, 5))
+
+
 def test_small_corpus_and_no_queries(spark):
     points, df = vectors(spark, 3)
     assert found(search.exact_topk(df, df, 5)) == brute(points, points, 5)
