@@ -24,7 +24,7 @@ def load_sources(spark: SparkSession, sources: list[tuple[str, str, str]], multi
     ``multi_line=False`` (no cell has a line break) large files are read by many tasks.
     """
     found = resolve_sources(spark, {path: path for path, _, _ in sources})
-    scans = [scan_csv(spark, path, text, label, multi_line) for path, text, label in sources if path in found]
+    scans = [scan_csv(spark, path, text, label, multi_line, in_order=True) for path, text, label in sources if path in found]
     return number_rows(union_sources(*scans))
 
 

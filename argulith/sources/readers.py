@@ -22,19 +22,20 @@ TAXONOMY_COLUMNS = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True, in_order: bool = False) -> DataFrame:
     """CSV with a header and doubled quotes; cells may span lines.
 
     Large files are split either way; ``multi_line=False`` saves one of two passes where no cell has a line break.
+    ``in_order`` sorts rows by file and place, for sources whose rows are to be numbered; without ``multi_line`` they come so.
     """
     if multi_line:
-        return read_split_csv(spark, path)
+        return read_split_csv(spark, path, in_order)
     return spark.read.csv(path, header=True, escape='"', inferSchema=False)
 
 
-def scan_csv(spark: SparkSession, path: str, text_col: str, label_col: str, multi_line: bool = True) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, text_col: str, label_col: str, multi_line: bool = True, in_order: bool = False) -> DataFrame:
     """A labelled source as ``(text, raw_label)``; null texts become empty."""
-    cells = read_csv(spark, path, multi_line)
+    cells = read_csv(spark, path, multi_line, in_order)
     return project_text_label(cells.withColumn("_id", F.lit(None)), text_col, label_col, "_id").drop("_id")
 
 
@@ -49,7 +50,7 @@ def scan_arguments(spark: SparkSession, path: str, multi_line: bool = True) -> D
 
     The file has no keys, so rows are numbered; the numbers are staged and have gaps.
     """
-    cells = read_csv(spark, path, multi_line).select("argument", "question", "type")
+    cells = read_csv(spark, path, multi_line, in_order=True).select("argument", "question", "type")
     return number_rows(cells, "id").select("id", "argument", "question", "type")
 
 

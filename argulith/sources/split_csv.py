@@ -170,12 +170,12 @@ def _joined(pieces: DataFrame, ranges: DataFrame) -> DataFrame:
     )
 
 
-def read_split_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_split_csv(spark: SparkSession, path: str, in_order: bool = False) -> DataFrame:
     """The rows of Spark's multi-line CSV reader (header, doubled quotes, strings), any file read by many tasks.
 
     Rows are staged. Files are UTF-8; lines end in a line feed or, if the first one does, in carriage return and line feed, which
     then also become a line feed inside cells. Empty lines between records are skipped, each file's first record is its header,
-    columns are named by the first file. What the driver holds is
+    columns are named by the first file. Rows come in any order; ``in_order`` sorts them by file and place. What the driver holds is
     a path, a number and a flag for every byte range (``spark.sql.files.maxPartitionBytes``). Two passes over the bytes;
     if executors come or go in between and the ranges change, the read fails instead of giving other rows.
     """
@@ -192,4 +192,6 @@ def read_split_csv(spark: SparkSession, path: str) -> DataFrame:
     body = records.join(first, "path").filter(F.struct("start", "place") != F.struct("header.start", "header.place"))
     ended = F.regexp_replace(F.replace("record", F.lit("\r\n"), F.lit("\n")), r"\r\z", "")
     body = body.withColumn("record", F.when(F.col("header.crlf"), ended).otherwise(F.col("record"))).filter("record <> ''")
+    if in_order:
+        body = body.orderBy("path", "start", "place")
     return body.select(F.from_csv("record", schema.toDDL(), {"escape": '"', "multiLine": "true"}).alias("cells")).select("cells.*")

@@ -52,6 +52,8 @@ def test_rows_of_the_plain_reader(spark, tmp_path, small_ranges, header, end, la
     assert got.columns == plain(spark, path).columns
     assert got.count() == 120
     assert rows(got) == rows(plain(spark, path))
+    sorted_rows = read_split_csv(spark, path, in_order=True).collect()
+    assert [r[0] for r in sorted_rows] == [str(i) for _ in range(2) for i in range(60)]
 
 
 def test_records_longer_than_ranges(spark, tmp_path, small_ranges):
