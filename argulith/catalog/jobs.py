@@ -203,7 +203,8 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The embeddings arrive as a stream and are scored in micro-batches."""
     embeddings = table(spark, sf_dir, "embeddings")
     scorer = classify.centroid_scorer(embeddings)
-    requests = text_stream(spark, sf_dir, embeddings.schema, name_pattern="embeddings.parquet")
+    # A pattern, as a stream takes only folders otherwise; the table is one file or a folder of files.
+    requests = text_stream(spark, f"{sf_dir}/embeddings.parque[t]", embeddings.schema)
     out = scratch_path(spark, "scored")
 
     def scoring_plan(df: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
+from argulith.catalog import QUERIES
 from argulith.streaming.score import answer_requests, answers, text_stream
 
 SCHEMA = "request_id long, asked_at timestamp, text string"
@@ -46,3 +48,16 @@ def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
     for crc in (tmp_path / "checkpoint" / "commits").glob(f".{commits[-1].name}.crc"):
         shutil.move(crc, kept)
     assert serve(spark, folder, out, checkpoint) == first and len(first) == 12
+
+
+@pytest.mark.parametrize("files", [0, 3])
+def test_a_table_that_streams_is_a_file_or_a_folder_of_files(spark, tmp_path, files):
+    rows = [(n, [1.0, 0.0] if n % 2 else [0.0, 1.0], n % 2) for n in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    if files:
+        df.repartition(files).write.parquet(f"{tmp_path}/embeddings.parquet")
+    else:
+        df.coalesce(1).write.parquet(f"{tmp_path}/parts")
+        shutil.copy(next((tmp_path / "parts").glob("*.parquet")), tmp_path / "embeddings.parquet")
+    scored = QUERIES["stream_score"](spark, str(tmp_path)).collect()
+    assert sorted((r["vec_id"], r["fallacy"]) for r in scored) == [(n, n % 2) for n in range(20)]
