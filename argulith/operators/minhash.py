@@ -58,7 +58,7 @@ def word_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _banded(sets: DataFrame, bands: int, rows: int, seed: int) -> DataFrame:
-    return sets.select("id", F.posexplode(band_keys(F.col("words"), bands, rows, seed)).alias("band", "key"))
+    return sets.select("id", F.size("words").alias("n"), F.posexplode(band_keys(F.col("words"), bands, rows, seed)).alias("band", "key"))
 
 
 def minhash_join(
@@ -80,10 +80,12 @@ def minhash_join(
     sizes = sizes.select("band", "key", F.ceil(F.col("count") / bucket_rows).cast("int").alias("parts"))
     split = F.coalesce("parts", F.lit(1))
     part = F.pmod(F.xxhash64("id"), split).cast("int")
-    cut = held.join(sizes, ["band", "key"], "left").select("band", "key", part.alias("part"), F.col("id").alias("right_id"))
+    cut = held.join(sizes, ["band", "key"], "left").select("band", "key", part.alias("part"), F.col("id").alias("right_id"), F.col("n").alias("right_n"))
     every = F.explode(F.sequence(F.lit(0), split - 1)).alias("part")
-    met = asked.join(sizes, ["band", "key"], "left").select("band", "key", every, F.col("id").alias("left_id"))
-    pairs = met.join(cut, ["band", "key", "part"]).select("left_id", "right_id").distinct()
+    met = asked.join(sizes, ["band", "key"], "left").select("band", "key", every, F.col("id").alias("left_id"), F.col("n").alias("left_n"))
+    # Sets share no more words than the smaller one has: other pairs are left out before any words move.
+    alike = F.least("left_n", "right_n") / F.greatest("left_n", "right_n") >= at_least
+    pairs = met.join(cut, ["band", "key", "part"]).filter(alike).select("left_id", "right_id").distinct()
     words = [side.select(F.col("id").alias(f"{n}_id"), F.col("words").alias(f"{n}_words")) for n, side in zip(("left", "right"), sides)]
     both = pairs.join(words[0], "left_id").join(words[1], "right_id")
     common = F.size(F.array_intersect("left_words", "right_words"))
