@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,11 +51,18 @@ def collapse_ws(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, rf"(?U){BLANK}+", " "))
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for texts in batches:
-        # ASCII is its own normal form.
-        yield texts.map(lambda t: t if t.isascii() else unicodedata.normalize("NFKC", t), na_action="ignore")
+_HELD = 256  # texts that stand as Python strings at a time
+
+
+@F.arrow_udf(T.StringType())
+def _nfkc(texts: pa.Array) -> pa.Array:
+    done = []
+    for at in range(0, len(texts), _HELD):
+        some = texts.slice(at, _HELD)
+        if not pc.all(pc.string_is_ascii(some)).as_py() and some.null_count < len(some):  # ASCII is its own normal form
+            some = pa.array([t if t is None else unicodedata.normalize("NFKC", t) for t in some.to_pylist()], texts.type)
+        done.append(some)
+    return pa.concat_arrays(done) if done else texts
 
 
 def nfkc(text: Column) -> Column:
