@@ -1,8 +1,6 @@
 """Exact similarity join of sparse unit vectors: a short bound decides which pairs are worth a product.
 
-Every vector gets a sketch: its heaviest components as they are and, for the others, the length of the
-part that falls into each of a few groups. By Cauchy and Schwarz the inner product of two sketches is
-at least that of the vectors, so only pairs whose sketches reach the threshold are multiplied,
+Every vector gets a sketch, and only pairs whose sketches reach the threshold are multiplied,
 component by component. Blocks of one side go to all tasks, which hold the other side where it is:
 no pair is shuffled, and nothing as wide as the vectors is ever filled with zeros.
 """
@@ -13,77 +11,39 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from argulith.operators.search import QUERY_BLOCK_BYTES, _as_passages, _as_queries, _in_blocks
+from argulith.operators.search import _DENSE, QUERY_BLOCK_BYTES, _as_passages, _as_queries, _in_blocks
+from argulith.operators.sketches import SLACK, Sparse, columns, least_single, width_of
 
-HEAVY, GROUPS = 64, 192
-_SLACK = 1e-9  # what rounding may take from a bound
-_ROWS = 1_024  # rows a side whose sketches are multiplied at a time
-_PAIRS = 4_096  # pairs whose components are matched at a time
-
-
-class _Sparse:
-    """Vectors ``(size, indices, values)`` as flat arrays, with sorted components per row."""
-
-    def __init__(self, vectors: pa.Array) -> None:
-        indices = pc.struct_field(vectors, "indices")
-        lengths = pc.list_value_length(indices).to_numpy(zero_copy_only=False)
-        self.first = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-        self.index = indices.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        self.value = pc.struct_field(vectors, "values").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        self.row = np.repeat(np.arange(len(lengths)), lengths)
-
-    def __len__(self) -> int:
-        return len(self.first) - 1
-
-    def sketch(self, column: np.ndarray) -> np.ndarray:
-        """Heavy components, then lengths of the groups; ``column`` maps a component to its place."""
-        width = HEAVY + GROUPS
-        at = column[self.index]
-        heavy = at < HEAVY
-        cell = self.row * width + at
-        out = np.bincount(cell[~heavy], self.value[~heavy] ** 2, len(self) * width)
-        out = np.sqrt(out)
-        out[cell[heavy]] = self.value[heavy]
-        return out.reshape(len(self), width)
-
-
-def _columns(width: int, weight: np.ndarray) -> np.ndarray:
-    """Sketch column of every component: the heaviest by themselves, the others dealt out to the groups."""
-    order = np.argsort(-weight, kind="stable")
-    column = np.empty(width, dtype=np.int64)
-    place = np.arange(width)
-    column[order] = np.where(place < HEAVY, place, HEAVY + (place - HEAVY) % GROUPS)
-    return column
+_ROWS = 2_048  # rows a side whose sketches are multiplied at a time
 
 
 class _Near:
     """One block of queries inside a task: partners above the bound, and pairs that had to be multiplied."""
 
-    def __init__(self, ids: np.ndarray, held: _Sparse, column: np.ndarray, above: float, once: bool) -> None:
+    def __init__(self, ids: np.ndarray, held: Sparse, column: np.ndarray, above: float, once: bool) -> None:
         self.ids, self.held, self.column, self.above, self.once = ids, held, column, above, once
-        self.sketch = held.sketch(column)
-        self.keys = held.row * len(column) + held.index  # ascending: rows in order, components sorted
+        self.sketch, self.length = held.sketch(column), held.lengths()
         self.over = np.zeros(len(ids), dtype=np.int64)
         self.largest = np.zeros(len(ids))
         self.verified = np.zeros(len(ids), dtype=np.int64)
 
     def add(self, vectors: pa.Array) -> None:
-        for at in range(0, len(vectors), _ROWS):
-            other = _Sparse(vectors.slice(at, _ROWS))
-            sketch = other.sketch(self.column)
+        most = max(1, min(_ROWS, _DENSE // max(1, len(self.column))))
+        for at in range(0, len(vectors), most):
+            other = Sparse(vectors.slice(at, most))
+            sketch, slack = other.sketch(self.column), SLACK * other.lengths().max()
+            points = other.dense(np.arange(len(other)), len(self.column))
             for low in range(0, len(self.ids), _ROWS):
                 rows = np.arange(low, min(low + _ROWS, len(self.ids)))
                 rows = rows[self.over[rows] == 0] if self.once else rows
-                query, passage = np.nonzero(self.sketch[rows] @ sketch.T > self.above - _SLACK)
+                least = least_single(self.above - slack * self.length[rows])
+                query, passage = np.nonzero(~(self.sketch[rows] @ sketch.T < least[:, None]))
                 query = rows[query]
                 for some in self._waves(query):
-                    for first in range(0, len(some), _PAIRS):
-                        part = some[first : first + _PAIRS]
-                        self._verify(query[part], passage[part], other)
+                    self._verify(query[some], passage[some], points)
 
     def _waves(self, query: np.ndarray) -> Iterator[np.ndarray]:
         """Positions to verify: all at once, or one per query, two, four, ... of the queries still without a partner."""
@@ -99,16 +59,8 @@ class _Near:
             left = left[self.over[query[left]] == 0]
             size *= 2
 
-    def _verify(self, query: np.ndarray, passage: np.ndarray, other: _Sparse) -> None:
-        if not len(query) or not len(self.keys):
-            return
-        lengths = other.first[passage + 1] - other.first[passage]
-        pair = np.repeat(np.arange(len(query)), lengths)
-        entry = np.arange(len(pair)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + other.first[passage][pair]
-        key = query[pair] * len(self.column) + other.index[entry]
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        product = np.where(self.keys[at] == key, self.held.value[at] * other.value[entry], 0.0)
-        dot = np.bincount(pair, product, len(query))
+    def _verify(self, query: np.ndarray, passage: np.ndarray, points: np.ndarray) -> None:
+        dot = self.held.products(query, passage, points)
         np.add.at(self.verified, query, 1)
         np.add.at(self.over, query, dot > self.above)
         np.maximum.at(self.largest, query, dot)
@@ -139,9 +91,8 @@ def near_partners(
 
     def run(passages: DataFrame, block: pa.Table, shared: list) -> DataFrame:
         vectors = block["vector"].combine_chunks()
-        width = pc.max(pc.struct_field(vectors, "size")).as_py()
-        held = _Sparse(vectors)
-        column = _columns(width, np.bincount(held.index, held.value**2, width))
+        width, held = width_of(vectors), Sparse(vectors)
+        column = columns(width, np.bincount(held.index, held.value**2, width))
         sent = spark.sparkContext.broadcast((block["query_id"].to_numpy(), held, column))
         shared.append(sent)
 
@@ -149,9 +100,7 @@ def near_partners(
             near = _Near(*sent.value, above, once)
             for batch in batches:
                 if batch.num_rows:
-                    sizes = pc.unique(pc.struct_field(batch.column("vector"), "size")).to_pylist()
-                    if sizes != [len(near.column)]:
-                        raise ValueError(f"vectors of {sizes} dimensions against {len(near.column)}")
+                    width_of(batch.column("vector"), len(near.column))
                     near.add(batch.column("vector"))
             yield near.batch()
 

@@ -389,3 +389,58 @@ def test_related_concepts_walk_breadth_first_and_end_in_circles(spark):
     df = spark.createDataFrame([(1, ["x", "b"]), (2, []), (3, None)], "i int, names array<string>")
     facts = {r["i"]: r["facts"] for r in hits.concept_enrichment(df, graph, "i", "names", 2).collect()}
     assert facts == {1: ["b PartOf c", "c IsA d", "c PartOf a", "x IsA x"], 2: [], 3: []}
+
+
+def _sparse_rows(count, seed, width=400):
+    draw = np.random.default_rng(seed)
+    rows = np.where(draw.random((count, width)) < 0.05, draw.normal(size=(count, width)), 0.0)
+    rows[count // 2] = 0.0
+    rows[-20:] = rows[:20]  # equal scores, which keys decide
+    return rows
+
+
+def _sparse_frame(spark, rows, first=0):
+    made = [(first + n, (len(row), np.flatnonzero(row).tolist(), row[np.flatnonzero(row)].tolist())) for n, row in enumerate(rows)]
+    return spark.createDataFrame(made, "doc_id long, vector struct<size: int, indices: array<int>, values: array<double>>")
+
+
+@pytest.mark.parametrize("block_bytes", [64 << 20, 100 * 1_700])
+def test_sparse_vectors_are_searched_exactly(spark, block_bytes):
+    """Lengths differ, components are negative, rows are equal or zero: the sketches must lose nothing."""
+    asked, held = _sparse_rows(230, 1), _sparse_rows(900, 2)
+    held[40:44] = asked[:4] * 3
+    sides = _sparse_frame(spark, asked).repartition(2), _sparse_frame(spark, held, 1_000).repartition(2)
+    product = np.round(asked @ held.T, 12)
+    got = search.exact_topk(*sides, 3, "doc_id", "doc_id", "vector", block_bytes)
+    found = {(r["query_id"], r["rank"]): (r["id"], round(r["score"], 9)) for r in got.collect()}
+    for n, row in enumerate(product):
+        best = np.lexsort((np.arange(len(row)), -row))[:3]
+        assert [found[n, r] for r in (1, 2, 3)] == [(1_000 + b, round(row[b], 9)) for b in best]
+    sums = search.query_corpus_product(*sides, "doc_id", "doc_id", "vector", 2.0, block_bytes).collect()
+    for r in sums:
+        row = product[r["query_id"]]
+        assert (r["n"], r["n_above"]) == (900, (row > 2.0).sum())
+        assert [r["mean_score"], r["max_score"]] == pytest.approx([row.mean(), row.max()], abs=1e-9)
+    assert len(sums) == 230
+
+
+def test_few_pairs_of_sparse_vectors_are_multiplied(monkeypatch):
+    import pyarrow as pa
+
+    from argulith.operators.sketches import Sparse, columns
+
+    asked, held = np.abs(_sparse_rows(100, 1)), np.abs(_sparse_rows(4_000, 2))
+    held[:100] = asked
+    lists = [
+        pa.array([{"size": 400, "indices": np.flatnonzero(r), "values": r[np.flatnonzero(r)]} for r in rows / np.maximum(np.linalg.norm(rows, axis=1), 1e-9)[:, None]],
+                 pa.struct([("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))]))
+        for rows in (asked, held)
+    ]
+    pairs = []
+    products = Sparse.products
+    monkeypatch.setattr(Sparse, "products", lambda self, rows, *more: pairs.append(len(rows)) or products(self, rows, *more))
+    queries = Sparse(lists[0])
+    block = search._SparseBlock(np.arange(100), queries, columns(400, np.bincount(queries.index, queries.value**2, 400)), 1)
+    block.add(np.arange(4_000), lists[1])
+    assert sum(pairs) < 100 * 4_000 / 50
+    assert (np.round(block.scores[:50, 0], 9) == 1).all()
