@@ -121,3 +121,28 @@ def test_mask_tokens(spark):
     assert column(spark, texts, tx.has_mask) == [True, False, False]
     assert column(spark, texts, lambda c: tx.mask_tokens(c, angle=True, any_case=True)) == [["[MSK1]", "[msk2]"], ["<MSK3>"], []]
     assert column(spark, texts, lambda c: tx.count_masks(c, any_case=True)) == [2, 0, 0]
+
+
+def test_nfkc_holds_few_texts_as_strings(monkeypatch):
+    """A batch of long texts is normalised piece by piece; pieces of ASCII alone are never taken apart."""
+    import pyarrow as pa
+
+    from argulith.functions import text as tx
+
+    taken = []
+
+    class Seen:
+        @staticmethod
+        def normalize(form, text):
+            taken.append(text)
+            return unicodedata.normalize(form, text)
+
+    import unicodedata
+
+    monkeypatch.setattr(tx, "unicodedata", Seen)
+    texts = ["plain"] * 600 + ["\ufb01ne", None, "\u2460"] + ["plain"] * 600
+    got = tx._nfkc.func(pa.array(texts)).to_pylist()
+    assert got == ["plain"] * 600 + ["fine", None, "1"] + ["plain"] * 600
+    assert len(taken) <= 2 * tx._HELD
+    assert tx._nfkc.func(pa.array([None, None], pa.string())).to_pylist() == [None, None]
+    assert tx._nfkc.func(pa.array([], pa.string())).to_pylist() == []

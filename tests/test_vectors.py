@@ -444,3 +444,23 @@ def test_few_pairs_of_sparse_vectors_are_multiplied(monkeypatch):
     block.add(np.arange(4_000), lists[1])
     assert sum(pairs) < 100 * 4_000 / 50
     assert (np.round(block.scores[:50, 0], 9) == 1).all()
+
+
+def test_cells_that_are_probed_travel_as_bits_in_bounded_pieces(spark, monkeypatch):
+    """A query of 600 cells, 270 of them probed, brings 75 bytes, and few rows of scores stand at a time."""
+    draw = np.random.default_rng(4)
+    rows = draw.normal(size=(50, 8))
+    centres = draw.normal(size=(600, 8))
+    df = spark.createDataFrame([(n, [float(x) for x in r]) for n, r in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = search.probed_cells(df, centres.tolist(), 270).collect()
+    for r in got:
+        order = np.argsort(-np.round(rows[r["vec_id"]] @ centres.T, 12), kind="stable")
+        bits = np.unpackbits(np.frombuffer(bytes(r["cells"]), dtype=np.uint8))
+        assert len(r["cells"]) == 75 and r["near"] == order[0]
+        assert set(np.flatnonzero(bits)) == set(order[:270])
+    import pyarrow as pa
+
+    sizes, product = [], search.matrix_of
+    monkeypatch.setattr(search, "matrix_of", lambda v, w=None: sizes.append(len(v)) or product(v, w))
+    search._nearest(pa.array([r.tolist() for r in np.tile(rows, (200, 1))]), centres, 5)
+    assert max(sizes) * 600 <= 1 << 21 and sum(sizes) == 10_000
