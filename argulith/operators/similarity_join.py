@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from argulith.operators.search import _DENSE, QUERY_BLOCK_BYTES, _as_passages, _as_queries, _in_blocks
-from argulith.operators.sketches import SLACK, Sparse, columns, least_single, width_of
+from argulith.operators.sketches import Level, Sparse, columns, least_single, width_of
 
 _ROWS = 2_048  # rows a side whose sketches are multiplied at a time
 
@@ -25,7 +25,8 @@ class _Near:
 
     def __init__(self, ids: np.ndarray, held: Sparse, column: np.ndarray, above: float, once: bool) -> None:
         self.ids, self.held, self.column, self.above, self.once = ids, held, column, above, once
-        self.sketch, self.length = held.sketch(column), held.lengths()
+        self.level, self.length = Level(column), held.lengths()
+        self.sketch = held.sketch(np.arange(len(held)), self.level)
         self.over = np.zeros(len(ids), dtype=np.int64)
         self.largest = np.zeros(len(ids))
         self.verified = np.zeros(len(ids), dtype=np.int64)
@@ -34,8 +35,9 @@ class _Near:
         most = max(1, min(_ROWS, _DENSE // max(1, len(self.column))))
         for at in range(0, len(vectors), most):
             other = Sparse(vectors.slice(at, most))
-            sketch, slack = other.sketch(self.column), SLACK * other.lengths().max()
-            points = other.dense(np.arange(len(other)), len(self.column))
+            everyone = np.arange(len(other))
+            sketch, slack = other.sketch(everyone, self.level), self.level.slack * other.lengths().max()
+            points = other.dense(everyone, len(self.column))
             for low in range(0, len(self.ids), _ROWS):
                 rows = np.arange(low, min(low + _ROWS, len(self.ids)))
                 rows = rows[self.over[rows] == 0] if self.once else rows

@@ -464,3 +464,61 @@ def test_cells_that_are_probed_travel_as_bits_in_bounded_pieces(spark, monkeypat
     monkeypatch.setattr(search, "matrix_of", lambda v, w=None: sizes.append(len(v)) or product(v, w))
     search._nearest(pa.array([r.tolist() for r in np.tile(rows, (200, 1))]), centres, 5)
     assert max(sizes) * 600 <= 1 << 21 and sum(sizes) == 10_000
+
+
+def _sparse_array(rows):
+    import pyarrow as pa
+
+    kind = pa.struct([("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+    return pa.array([{"size": rows.shape[1], "indices": np.flatnonzero(r), "values": r[np.flatnonzero(r)]} for r in rows], kind)
+
+
+def _multiplied(monkeypatch, queries):
+    """Pairs that are multiplied by components or, for queries with their zeros, at once."""
+    from argulith.operators.sketches import Sparse
+
+    pairs, products, dense = [], Sparse.products, Sparse.dense
+    monkeypatch.setattr(Sparse, "products", lambda self, rows, *more: pairs.append(len(rows)) or products(self, rows, *more))
+    monkeypatch.setattr(Sparse, "dense", lambda self, rows, width: pairs.append(256 * len(rows) * (self is queries)) or dense(self, rows, width))
+    return pairs
+
+
+@pytest.mark.parametrize("kind", ["best", "totals"])
+def test_passages_of_many_components_are_bounded_as_closely(monkeypatch, kind):
+    from argulith.operators.sketches import Sparse, columns
+
+    seed = np.random.default_rng(5)
+    held = seed.random((3_000, 1_000)) * (seed.random((3_000, 1_000)) < 0.5)
+    asked = seed.random((60, 1_000)) * (seed.random((60, 1_000)) < 0.08)
+    held[::50] = 0.0
+    held[::50] = asked + 0.05 * held[1::50]  # one passage near every query
+    held, asked = (rows / np.linalg.norm(rows, axis=1)[:, None] for rows in (held, asked))
+    queries = Sparse(_sparse_array(asked))
+    column = columns(1_000, np.bincount(queries.index, queries.value**2, 1_000))
+    block = search._SparseBlock(np.arange(60), queries, column, 2) if kind == "best" else search._SparseTotals(np.arange(60), queries, column, 0.2)
+    pairs = _multiplied(monkeypatch, queries)
+    block.add(np.arange(3_000), _sparse_array(held))
+    assert sum(pairs) < 60 * 3_000 / 20
+    product = asked @ held.T
+    if kind == "best":
+        order = np.lexsort((np.broadcast_to(np.arange(3_000), product.shape), -np.round(product, 12)), axis=1)[:, :2]
+        assert (block.hits == order).all()
+    else:
+        assert (block.batch()["n_above"].to_numpy() == (product > 0.2).sum(axis=1)).all()
+        assert block.largest == pytest.approx(product.max(axis=1), abs=1e-12)
+
+
+def test_queries_without_components_are_not_multiplied(monkeypatch):
+    from argulith.operators.sketches import Sparse, columns
+
+    held = _sparse_array(np.abs(_sparse_rows(3_000, 2)))
+    queries = Sparse(_sparse_array(np.zeros((40, 400))))
+    column = columns(400, np.zeros(400))
+    best, sums = search._SparseBlock(np.arange(40), queries, column, 2), search._SparseTotals(np.arange(40), queries, column, -1.0)
+    pairs = _multiplied(monkeypatch, queries)
+    for at, keys in ((0, np.arange(3_000)[::-1] + 10), (0, np.arange(3_000) + 3_000)):
+        best.add(keys, held)
+        sums.add(keys, held)
+    assert sum(pairs) == 0
+    assert (best.scores == 0).all() and (best.hits == [10, 11]).all()
+    assert [c.tolist() for c in (sums.count, sums.largest, sums.over)] == [[6_000] * 40, [0.0] * 40, [6_000] * 40]
