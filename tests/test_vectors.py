@@ -522,3 +522,14 @@ def test_queries_without_components_are_not_multiplied(monkeypatch):
     assert sum(pairs) == 0
     assert (best.scores == 0).all() and (best.hits == [10, 11]).all()
     assert [c.tolist() for c in (sums.count, sums.largest, sums.over)] == [[6_000] * 40, [0.0] * 40, [6_000] * 40]
+
+
+def test_classes_of_encoded_texts_need_no_second_encoding(spark, monkeypatch):
+    rows = [(1, "red red green", "b"), (2, "green blue", "a"), (2, "green blue", "a"), (3, "blue", "b"), (4, "", "a"), (5, "red", "b")]
+    texts = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    model = tfidf.fit_tfidf(texts)
+    plain, encoded = tfidf.term_scorer(texts, model), model.encode(texts)
+    monkeypatch.setattr(tfidf.TfIdf, "transform", None)
+    known = tfidf.term_scorer(encoded, model, vector_col="embedding")
+    assert known.labels == plain.labels == ["a", "b"]
+    assert known.weights == pytest.approx(plain.weights, abs=1e-14)
