@@ -55,7 +55,7 @@ def scan_arguments(spark: SparkSession, path: str, multi_line: bool = True) -> D
 
 
 def scan_taxonomy(spark: SparkSession, path: str) -> DataFrame:
-    cells = read_csv(spark, path)
+    cells = read_csv(spark, path, in_order=True)
     return cells.select(
         *[F.trim(F.regexp_replace(F.col(f"`{old}`"), r"^\s+|\s+$", "")).alias(new) for old, new in TAXONOMY_COLUMNS.items()]
     )
